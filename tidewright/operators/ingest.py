@@ -110,7 +110,7 @@ def nested_to_json(df: DataFrame) -> DataFrame:
     nested = [
         f.name for f in df.schema.fields if isinstance(f.dataType, (ArrayType, MapType, StructType))
     ]
-    return df.withColumns({c: F.to_json(c, {"ignoreNullFields": "false"}) for c in nested}) if nested else df
+    return df.withColumns({c: F.to_json(c, {"ignoreNullFields": "false"}) for c in nested})
 
 
 def key_conflicts(batch: DataFrame, existing: DataFrame | None, key: Sequence[str]) -> DataFrame:

@@ -11,6 +11,14 @@ from pyspark.sql.types import StructType
 from tidewright.functions.times import keep_record
 
 
+# Nulls are written out, and timestamps keep their microseconds (the default stops at milliseconds).
+JSON_OPTIONS = {
+    "ignoreNullFields": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
@@ -39,7 +47,7 @@ def read_jsonl(
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    df.write.mode("overwrite").options(**JSON_OPTIONS).json(path)
 
 
 def merged_jsonl(
@@ -57,7 +65,7 @@ def merged_jsonl(
         well_formed = F.try_parse_json(F.col("value")).isNotNull()
         kept = kept.where(well_formed & keep_record(stamp, max_days=max_days, as_of=as_of))
     fresh = new_records.select(
-        F.to_json(F.struct(*new_records.columns), {"ignoreNullFields": "false"}).alias("value")
+        F.to_json(F.struct(*new_records.columns), JSON_OPTIONS).alias("value")
     )
     return kept.unionByName(fresh)
 
