@@ -9,6 +9,7 @@ from tidewright.catalog.registry import query
 from tidewright.catalog.shapes import WINDOW, Tables
 from tidewright.catalog.sqltext import normal_cdf, normal_quantile
 from tidewright.functions.rates import float_ratio
+from tidewright.functions.text import label_name
 from tidewright.functions.times import age_cohort, whole_days
 from tidewright.operators import decay, group_tests, normality, ranks, snapshots, summaries
 from tidewright.operators.snapshots import in_window
@@ -93,7 +94,8 @@ def a05b(t: Tables) -> DataFrame:
     "SELECT video_id, round(avg(CASE WHEN label = 2 THEN 1.0 ELSE 0.0 END) * 100, 6) AS share FROM labelled GROUP BY video_id",
 )
 def a06(t: Tables) -> DataFrame:
-    return rounded(summaries.class_share(t.labelled().withColumn("label", F.col("label").cast("string")), "video_id", "label", "2", "share"), 6, "share")
+    named = t.labelled().select("video_id", label_name(F.col("label")).alias("sentiment_label"))
+    return rounded(summaries.class_share(named, "video_id", "sentiment_label", "positive", "share"), 6, "share")
 
 
 @query(
