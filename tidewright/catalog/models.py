@@ -151,7 +151,7 @@ def l06(t: Tables) -> DataFrame:
         SELECT doc_id, lang AS language FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, lang) AS r FROM s) AS x WHERE r = 1""",
 )
 def l07(t: Tables) -> DataFrame:
-    docs = t.table("documents").select("doc_id", "text", "lang")
+    docs = t.texts().select("doc_id", "text", "lang")
     profile = scoring.train_language_profile(docs, "text", "lang")
     return scoring.detect_language(docs.select("doc_id", "text"), "doc_id", "text", profile).drop("text")
 
@@ -223,7 +223,7 @@ def l09c(t: Tables) -> DataFrame:
 @query("l09_end_to_end")
 def l09d(t: Tables) -> DataFrame:
     """Both built-in scorers, trained on the sample's labels."""
-    profile = scoring.train_language_profile(t.table("documents"), "text", "lang")
+    profile = scoring.train_language_profile(t.texts(), "text", "lang")
     model = scoring.train_sentiment(t.labelled().where("label IS NOT NULL"), "text", "label")
     return run_sentiment(
         t.comments(),
@@ -251,7 +251,7 @@ def u2(t: Tables) -> DataFrame:
 
     scorer = scoring.batch_scorer(load)
     some = F.when(F.col("lang") != "es", F.col("text"))
-    return t.table("documents").select("doc_id", scorer(some).alias("label"))
+    return t.texts().select("doc_id", scorer(some).alias("label"))
 
 
 # ---- feature table

@@ -136,7 +136,7 @@ def p10(t: Tables) -> DataFrame:
     docs = t.table("documents")
     mean = docs.agg(F.avg("n_chars")).scalar()
     long_ones = docs.groupBy("lang").agg(F.avg("n_chars").alias("m")).where(F.col("m") > mean).select("lang")
-    fixed = t.spark.createDataFrame([("es",)], "lang string")
+    fixed = frames.value_list(t.spark, ["es"], "lang")
     return frames.only_listed(docs.select("doc_id", "lang"), "lang", long_ones, fixed).select("doc_id", "lang")
 
 
@@ -356,17 +356,17 @@ def w3(t: Tables) -> DataFrame:
 
 @query("t1_long_form_rules", f"SELECT doc_id, {rule_case('text', rules.LONG_FORM_RULES, rules.LONG_FORM_DEFAULT)} AS pillar FROM documents")
 def t1(t: Tables) -> DataFrame:
-    return t.table("documents").select("doc_id", rules.long_form_pillar(F.col("text")).alias("pillar"))
+    return t.texts().select("doc_id", rules.long_form_pillar(F.col("text")).alias("pillar"))
 
 
 @query("t2_short_rules", f"SELECT doc_id, {rule_case('text', rules.SHORT_RULES, rules.SHORT_DEFAULT)} AS pillar FROM documents")
 def t2(t: Tables) -> DataFrame:
-    return t.table("documents").select("doc_id", rules.short_pillar(F.col("text")).alias("pillar"))
+    return t.texts().select("doc_id", rules.short_pillar(F.col("text")).alias("pillar"))
 
 
 @query("t3_live_rules", f"SELECT doc_id, {rule_case('text', rules.LIVE_RULES, rules.LIVE_DEFAULT)} AS pillar FROM documents")
 def t3(t: Tables) -> DataFrame:
-    return t.table("documents").select("doc_id", rules.live_pillar(F.col("text")).alias("pillar"))
+    return t.texts().select("doc_id", rules.live_pillar(F.col("text")).alias("pillar"))
 
 
 @query("t4_pillar_by_format", f"SELECT video_id, {pillar_case('video_format', 'title')} AS pillar FROM items")
@@ -441,11 +441,11 @@ def d1b(t: Tables) -> DataFrame:
 
 @query(
     "d2_fractional_days",
-    "SELECT event_id, round((epoch_us(TIMESTAMP '2024-02-01') - epoch_us(ts)) / 86400000000.0, 8) AS days FROM events",
+    "SELECT event_id, (epoch_us(TIMESTAMP '2024-02-01') - epoch_us(ts)) / 86400000000.0 AS days FROM events",
 )
 def d2(t: Tables) -> DataFrame:
     end = F.lit("2024-02-01").cast("timestamp_ntz")
-    return t.table("events").select("event_id", F.round(times.fractional_days(end, F.col("ts")), 8).alias("days"))
+    return t.table("events").select("event_id", times.fractional_days(end, F.col("ts")).alias("days"))
 
 
 @query("d3_year_month", "SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS y, CAST(month(o_orderdate) AS INTEGER) AS m FROM orders")

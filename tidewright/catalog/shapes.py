@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidewright.catalog.sqltext import FEATURES
 from tidewright.plans.features import make_features
+from tidewright.session import spread
 
 EPOCH_2024 = 1_704_067_200
 TITLE_TAILS = [
@@ -30,6 +31,10 @@ class Tables:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
+    def texts(self) -> DataFrame:
+        """Documents for work that is heavy per row."""
+        return spread(self.table("documents"))
+
     def snapshots(self) -> DataFrame:
         """Counter snapshots from events; some have no views yet, some lack a comment counter."""
         seconds = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000) - EPOCH_2024
@@ -150,7 +155,7 @@ class Tables:
             F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when(F.col("quality") == 1, 2)
         )
         return (
-            self.table("documents")
+            self.texts()
             .join(self.table("labels"), "doc_id", "left")
             .select(
                 "doc_id",

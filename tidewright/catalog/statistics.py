@@ -108,7 +108,7 @@ def a07(t: Tables) -> DataFrame:
     return summaries.leading_values(t.table("documents"), "lang")
 
 
-@query("a08_group_median", "SELECT o_orderpriority, count(*) AS n_values, median(o_totalprice) AS median FROM orders GROUP BY o_orderpriority")
+@query("a08_group_median", "SELECT o_orderpriority, count(*) AS n_values, round(median(o_totalprice), 6) AS median FROM orders GROUP BY o_orderpriority")
 def a08(t: Tables) -> DataFrame:
     return summaries.group_median(t.table("orders"), "o_totalprice", ["o_orderpriority"]).withColumn("median", F.round("median", 6))
 

@@ -7,6 +7,9 @@ and only a newline ends a line. Java needs the flags ``U`` and ``d`` for the sam
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -82,12 +85,45 @@ def java_pattern(pattern: str) -> str:
     return "(?Ud)" + pattern
 
 
+def needles(pattern: str) -> list[str]:
+    """Literal text that a match must contain: the leading literal of every alternative."""
+    body = pattern.removeprefix("(?i)")
+    found = []
+    for alternative in [body] if "(" in body else body.split("|"):
+        run = re.match(r"(?:[^\\.^$*+?{}\[\]|()]|\\[\[\]])*", alternative).group()
+        if alternative[len(run) : len(run) + 1] in ("?", "*", "{"):
+            run = run[:-1]
+        found.append(re.sub(r"\\(.)", r"\1", run))
+    if not all(found):
+        raise ValueError(f"rule without a literal start: {pattern}")
+    return found
+
+
+def folded(subject: Column) -> Column:
+    """Lower case in which all letters that match a plain i, s or k without case are equal."""
+    return F.lower(F.translate(subject, "\u0130\u0131\u017f\u212a", "iisk"))
+
+
+def rule_matches(subject: Column, pattern: str) -> Column:
+    """The regex runs only on texts that contain one of its needles: substring search is an order of
+    magnitude cheaper than a case-insensitive alternation, and hits are rare."""
+    if pattern.startswith("(?i)"):
+        hits = [F.contains(folded(subject), F.lit(n.lower())) for n in needles(pattern)]
+    else:
+        hits = [F.contains(subject, F.lit(n)) for n in needles(pattern)]
+    return reduce(lambda a, b: a | b, hits) & subject.rlike(java_pattern(pattern))
+
+
 def first_match(subject: Column, rules: list[tuple[str, str]], default: str) -> Column:
-    """Label of the first matching rule; null subjects stay null."""
-    chain = F.when(subject.isNull(), F.lit(None).cast("string"))
+    """Label of the first matching rule; null subjects stay null.
+
+    The null check comes last, so that the folded text of the first condition is always evaluated
+    and shared by all others.
+    """
+    chain = F
     for pattern, label in rules:
-        chain = chain.when(subject.rlike(java_pattern(pattern)), F.lit(label))
-    return chain.otherwise(F.lit(default))
+        chain = chain.when(rule_matches(subject, pattern), F.lit(label))
+    return chain.otherwise(F.when(subject.isNotNull(), F.lit(default)))
 
 
 def long_form_pillar(title: Column) -> Column:

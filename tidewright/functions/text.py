@@ -52,5 +52,4 @@ def label_code(name: Column) -> Column:
 
 def words(text: Column) -> Column:
     """Lower-cased runs of letters and digits; never null, never holds empty strings."""
-    raw = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+")
-    return F.filter(raw, lambda w: w != "")
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")

@@ -17,8 +17,8 @@ from tidewright.functions.rates import half_even, half_life
 from tidewright.session import cut_lineage
 from tidewright.schemas import LOWEST_TIER, RELIABILITY_TIERS
 
-LOWEST_RATE, HIGHEST_RATE, GRID = 1e-5, 10.0, 40
-ROUNDS = 5
+LOWEST_RATE, HIGHEST_RATE, GRID = 1e-5, 10.0, 200
+ROUNDS = 3
 Z95 = 1.96
 
 
@@ -101,8 +101,7 @@ def fit_decay(df: DataFrame, group: str, t: str, y: str) -> DataFrame:
     log_step = log(span) / GRID
     best = means.select("g", F.lit((LOWEST_RATE * HIGHEST_RATE) ** 0.5).alias("centre"))
     for _ in range(ROUNDS):
-        # Each round's result is one row per group; fixing it keeps the next plan short.
-        best = cut_lineage(_best_on_grid(cells, best.select("g", "centre"), log_step))
+        best = _best_on_grid(cells, best.select("g", "centre"), log_step)
         log_step = 2 * log_step / GRID
     rate, v0, floor = F.col("centre"), F.col("v0"), F.col("floor")
     e = F.exp(-rate * F.col("t"))

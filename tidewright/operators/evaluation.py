@@ -20,14 +20,23 @@ def error_rate(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     )
 
 
-def confusion_matrix(df: DataFrame, actual: str, predicted: str, classes: int = 3) -> DataFrame:
-    """Counts of every (label, prediction) cell, empty cells included."""
-    counts = (
+def cell_counts(df: DataFrame, actual: str, predicted: str) -> DataFrame:
+    """Counts of the (label, prediction) cells that occur."""
+    return (
         df.where(F.col(actual).isNotNull() & F.col(predicted).isNotNull())
         .groupBy(F.col(actual).cast("int").alias("label"), F.col(predicted).cast("int").alias("prediction"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    cells = df.sparkSession.range(classes * classes).select(
+
+
+def confusion_matrix(df: DataFrame, actual: str, predicted: str, classes: int = 3) -> DataFrame:
+    """Counts of every (label, prediction) cell, empty cells included."""
+    return full_matrix(cell_counts(df, actual, predicted), classes)
+
+
+def full_matrix(counts: DataFrame, classes: int = 3) -> DataFrame:
+    """Complete the counted cells with empty ones."""
+    cells = counts.sparkSession.range(classes * classes).select(
         F.floor(F.col("id") / classes).cast("int").alias("label"),
         (F.col("id") % classes).cast("int").alias("prediction"),
     )

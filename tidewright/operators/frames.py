@@ -60,7 +60,14 @@ def value_matrix(
     )
 
 
+def value_list(spark: SparkSession, values: Sequence, name: str) -> DataFrame:
+    """One-column frame of a few literal values, built without Python workers."""
+    return spark.range(1).select(F.explode(F.array(*[F.lit(v) for v in values])).alias(name))
+
+
 def literal_frame(spark: SparkSession, rows: list[dict], schema: StructType) -> DataFrame:
     """Typed frame from a few literal records; missing keys become null."""
-    names = schema.fieldNames()
-    return spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], schema)
+    records = [
+        F.struct(*[F.lit(r.get(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields]) for r in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*records)))

@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructType
 
+from tidewright.operators.frames import literal_frame
 from tidewright.operators.ranks import row_numbers
 from tidewright.schemas import SAMPLE_SIZE
 
@@ -35,9 +37,10 @@ def sample_per_class(
     df: DataFrame, key: str, label: str, draws: list[tuple[object, int, int]]
 ) -> DataFrame:
     """Several draws at once from (class, seed, n) triples; adds the ``seed`` of the draw."""
-    spark = df.sparkSession
-    kind = df.schema[label].dataType.simpleString()
-    plan = spark.createDataFrame(draws, f"{label} {kind}, seed int, n_wanted int")
+    kind = StructType().add(label, df.schema[label].dataType).add("seed", IntegerType()).add("n_wanted", IntegerType())
+    plan = literal_frame(
+        df.sparkSession, [{label: c, "seed": seed, "n_wanted": n} for c, seed, n in draws], kind
+    )
     joined = df.join(F.broadcast(plan), label).withColumn(
         "_draw", draw_order(F.col(key), F.col("seed"))
     )

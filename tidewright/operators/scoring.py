@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
@@ -16,13 +17,16 @@ from pyspark.sql.types import StringType
 
 from tidewright.functions.rates import argmax
 from tidewright.functions.text import flatten_lines, label_name, words
-from tidewright.operators.evaluation import evaluate
+from tidewright.operators.evaluation import cell_counts, class_scores, full_matrix, overall_scores
+from tidewright.operators.frames import concat_frames
 from tidewright.operators.hotkeys import attach_counted
 from tidewright.session import cut_lineage
 
 # A trained profile is broadcast up to this many tokens; larger ones are joined by shuffle.
 BROADCAST_TOKENS = 200_000
 MAX_LANGUAGES = 1_000
+# Settings of a grid fitted at the same time; the fits share one materialised input.
+PARALLEL_FITS = 3
 
 
 def keyword_weights(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -169,9 +173,12 @@ def train_sentiment(
     df: DataFrame, text: str, label: str, reg: float = 0.01, max_iter: int = 30, features: int = 1 << 14
 ) -> PipelineModel:
     """Hashed TF-IDF with multinomial logistic regression on a labelled sample (labels 0, 1, 2).
-    The model size is fixed by ``features``, whatever the vocabulary."""
-    stages = _text_stages(features) + [_classifier(label).setRegParam(reg).setMaxIter(max_iter)]
-    return Pipeline(stages=stages).fit(_with_text(df, text))
+    The model size is fixed by ``features``, whatever the vocabulary. The vectors are materialised
+    once: every iteration of the fit reads them."""
+    stages = Pipeline(stages=_text_stages(features)).fit(_with_text(df, text))
+    vectors = cut_lineage(stages.transform(_with_text(df, text)).select(label, "_features"))
+    fit = _classifier(label).setRegParam(reg).setMaxIter(max_iter).fit(vectors)
+    return PipelineModel(stages=stages.stages + [fit])
 
 
 def classify(df: DataFrame, text: str, model: PipelineModel) -> DataFrame:
@@ -201,14 +208,29 @@ def grid_search(
     grid = [(reg, n) for reg in regs for n in iterations]
     base = _classifier(label)
     settings = [{base.regParam: reg, base.maxIter: n} for reg, n in grid]
-    out = None
-    for i, model in base.fitMultiple(fit_on, settings):
-        scored = evaluate(model.transform(test_on), label, "_prediction").select(
-            F.lit(i).alias("setting"), F.lit(grid[i][0]).alias("reg"), F.lit(grid[i][1]).alias("max_iter"),
-            "macro_f1", "weighted_f1",
+    with ThreadPool(PARALLEL_FITS) as pool:
+        fits = base.fitMultiple(fit_on, settings)
+        models = dict(pool.imap_unordered(lambda _: next(fits), settings))
+    # The cells of all settings are counted in one job; scores are computed per setting from them.
+    cells = cut_lineage(
+        concat_frames(
+            [
+                cell_counts(models[i].transform(test_on), label, "_prediction").withColumn("setting", F.lit(i))
+                for i in range(len(grid))
+            ]
         )
-        out = scored if out is None else out.unionByName(scored)
-    # Highest macro F1, earliest setting on ties, and only if above 0: nine rows.
+    )
+    classes = models[0].numClasses
+    out = concat_frames(
+        [
+            overall_scores(class_scores(full_matrix(cells.where(F.col("setting") == i), classes))).select(
+                F.lit(i).alias("setting"), F.lit(grid[i][0]).alias("reg"), F.lit(grid[i][1]).alias("max_iter"),
+                "macro_f1", "weighted_f1",
+            )
+            for i in range(len(grid))
+        ]
+    )
+    # Highest macro F1, earliest setting on ties, and only if above 0: one row per setting.
     out = cut_lineage(out)
     winner = out.where("macro_f1 > 0").agg(F.min_by("setting", F.struct(-F.col("macro_f1"), "setting"))).scalar()
     return out.withColumn("best", F.coalesce(F.col("setting") == winner, F.lit(False)))

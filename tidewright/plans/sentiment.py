@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.operators.frames import only_listed
+from tidewright.operators.frames import only_listed, value_list
 from tidewright.operators.snapshots import in_window, latest_row
 from tidewright.operators.summaries import class_share, leading_values
 from tidewright.plans.features import WINDOW_END, WINDOW_START
@@ -33,10 +33,7 @@ def keep_frequent_languages(
     df: DataFrame, always: list[str] | None = None, percent: int = 90
 ) -> DataFrame:
     """Rows in a language of the leading ``percent`` of the data, or in one that is always kept."""
-    spark = df.sparkSession
-    fixed = spark.createDataFrame(
-        [(name,) for name in (ALWAYS_KEPT_LANGUAGES if always is None else always)], "language string"
-    )
+    fixed = value_list(df.sparkSession, ALWAYS_KEPT_LANGUAGES if always is None else always, "language")
     return only_listed(df, "language", leading_values(df, "language", percent).select("language"), fixed)
 
 

@@ -65,6 +65,16 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """For work that is heavy per row: give a scan with fewer splits than cores one task per core.
+
+    Large inputs already have more splits than cores and are returned unchanged. Only for scans:
+    counting the partitions of a plan with shuffles would run it.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() > 2 * cores else scan.repartition(2 * cores)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise once on shared storage, so the rows (and any partition id stored in them)
     stay fixed when executors are lost."""
