@@ -170,7 +170,7 @@ def _with_text(df: DataFrame, text: str) -> DataFrame:
 
 
 def train_sentiment(
-    df: DataFrame, text: str, label: str, reg: float = 0.01, max_iter: int = 30, features: int = 1 << 14
+    df: DataFrame, text: str, label: str, reg: float = 0.01, max_iter: int = 20, features: int = 1 << 14
 ) -> PipelineModel:
     """Hashed TF-IDF with multinomial logistic regression on a labelled sample (labels 0, 1, 2).
     The model size is fixed by ``features``, whatever the vocabulary. The vectors are materialised

@@ -61,8 +61,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path below the shared folder that no other run uses; all paths of one application share a
+    parent, so its leftovers can be dropped together."""
+    application = spark.sparkContext.applicationId
+    return f"{shared_dir(spark)}/tidewright-{application}/{label}-{uuid.uuid4().hex}"
 
 
 def spread(scan: DataFrame) -> DataFrame:
@@ -77,8 +79,12 @@ def spread(scan: DataFrame) -> DataFrame:
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise once on shared storage, so the rows (and any partition id stored in them)
-    stay fixed when executors are lost."""
+    stay fixed when executors are lost.
+
+    A parquet table rather than an RDD checkpoint: it is compressed, read back by column, and its
+    size is known to the optimizer.
+    """
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    path = fresh_path(spark, "step")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
