@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewright.functions.distributions import chi2_p, f_p, two_sided_p
-from tidewright.operators.hotkeys import attach_counted
+from tidewright.operators.hotkeys import attach_counted, attach_measured
 from tidewright.operators.ranks import average_ranks, clean_numbers, exact_quantiles
 from tidewright.schemas import ALPHA
 
@@ -17,9 +17,9 @@ from tidewright.schemas import ALPHA
 def levene(df: DataFrame, value: str, by: str) -> DataFrame:
     """Median-centred Levene test (Brown & Forsythe 1974) over all groups."""
     data = clean_numbers(df, value).where(F.col(by).isNotNull())
-    medians = exact_quantiles(data, value, {"_median": 0.5}, [by]).select(by, "_median")
+    medians = exact_quantiles(data, value, {"_median": 0.5}, [by])
     groups = (
-        data.join(medians, by)
+        attach_measured(data.select(by, value), medians, [by])
         .withColumn("_z", F.abs(F.col(value) - F.col("_median")))
         .groupBy(by)
         .agg(

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewright.session import cut_lineage
+
 
 def attach_counted(
-    left: DataFrame, right: DataFrame, keys: list[str], count_col: str, shares: int = 64
+    left: DataFrame, right: DataFrame, keys: list[str], count_col: str, shares: int = 1000
 ) -> DataFrame:
     """Inner join of ``left`` with one ``right`` row per key, where ``count_col`` says how many
     ``left`` rows carry that key.
@@ -28,9 +30,11 @@ def attach_counted(
     return hot_rows.unionByName(cold_rows)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Hint a broadcast only after counting that the side has at most ``max_rows`` rows; beyond
-    that the plan is left to shuffle. Meant for sides that are already materialised."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+def attach_measured(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join with a result that has one row per group.
+
+    The result is stored first, so the optimizer knows its size before it plans: a small one is
+    broadcast under the session's threshold and ``left`` is not shuffled at all, a large one is joined
+    by shuffle, where the runtime plan splits a skewed group.
+    """
+    return left.join(cut_lineage(right), keys, "inner")

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StructType
+from pyspark.sql.types import ArrayType, MapType, StructType, TimestampNTZType, TimestampType
 
 from tidewright.functions.text import join_tags, video_link
 from tidewright.functions.times import keep_record
@@ -20,7 +20,8 @@ from tidewright.schemas import (
     TRANSCRIPT_LIMIT,
     UNKNOWN_AUTHOR,
     UNKNOWN_FORMAT,
-    VIDEO_PAYLOAD,
+    VIDEO_SNIPPET_PAYLOAD,
+    VIDEO_STATS_PAYLOAD,
 )
 
 # The mark of an empty target: every timestamp is later.
@@ -39,7 +40,7 @@ def flatten_stats(raw: DataFrame) -> DataFrame:
     def counter(name: str) -> Column:
         return F.coalesce(F.col(f"item.statistics.{name}").cast("bigint"), F.lit(0).cast("bigint"))
 
-    return _items(raw, "video_response", VIDEO_PAYLOAD, "scraped_at").select(
+    return _items(raw, "video_response", VIDEO_STATS_PAYLOAD, "scraped_at").select(
         F.col("item.id").alias("video_id"),
         "scraped_at",
         counter("viewCount").alias("view_count"),
@@ -51,7 +52,7 @@ def flatten_stats(raw: DataFrame) -> DataFrame:
 def flatten_snippets(raw: DataFrame, registry: DataFrame) -> DataFrame:
     """Metadata rows with the registered format, plus ``position`` inside the payload."""
     snippet = "item.snippet"
-    rows = _items(raw, "video_response", VIDEO_PAYLOAD, "scraped_at").select(
+    rows = _items(raw, "video_response", VIDEO_SNIPPET_PAYLOAD, "scraped_at").select(
         F.col("item.id").alias("video_id"),
         F.col(f"{snippet}.publishedAt").cast("timestamp").alias("published_at"),
         F.col(f"{snippet}.title").alias("title"),
@@ -113,12 +114,23 @@ def nested_to_json(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.to_json(c, {"ignoreNullFields": "false"}) for c in nested})
 
 
+def same_period(existing: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Existing rows that can share a key with the batch: if the key has a timestamp, only those
+    within the batch's time range. The bounds are scalar subqueries, so they reach the scan."""
+    for c in key:
+        if isinstance(batch.schema[c].dataType, (TimestampType, TimestampNTZType)):
+            low, high = batch.agg(F.min(c)).scalar(), batch.agg(F.max(c)).scalar()
+            return existing.where((F.col(c) >= low) & (F.col(c) <= high))
+    return existing
+
+
 def key_conflicts(batch: DataFrame, existing: DataFrame | None, key: Sequence[str]) -> DataFrame:
     """Keys that would violate the primary key: repeated in the batch or already present."""
     key = list(key)
     repeated = duplicate_keys(batch, key).select(*key)
     if existing is None:
         return repeated
+    existing = same_period(existing, batch, key)
     present = batch.select(*key).join(existing.select(*key), key, "left_semi").distinct()
     return repeated.union(present).distinct()
 
@@ -137,7 +149,9 @@ def admitted(
         return batch.where(conflicts == 0)
     if on_conflict == "skip":
         once = batch.dropDuplicates(key)
-        return once if existing is None else once.join(existing.select(*key), key, "left_anti")
+        if existing is None:
+            return once
+        return once.join(same_period(existing, batch, key).select(*key), key, "left_anti")
     raise ValueError("on_conflict must be 'reject' or 'skip'")
 
 

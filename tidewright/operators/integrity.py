@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 
-def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Key values that occur more than once."""
-    return df.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+def duplicate_keys(df: DataFrame, key: Sequence[str], name: str = "n") -> DataFrame:
+    """Key values that occur more than once, with their number of rows as ``name``."""
+    return df.groupBy(*key).agg(F.count(F.lit(1)).alias(name)).where(F.col(name) > 1)
 
 
 def orphans(child: DataFrame, parent: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.functions.distributions import normal_cdf, normal_quantile, polynomial
+from tidewright.operators.hotkeys import attach_measured
 from tidewright.operators.ranks import clean_numbers, value_histogram
 from tidewright.schemas import ALPHA
 
@@ -104,8 +105,7 @@ def lilliefors(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     )
     z = (F.col(value) - F.col("_mean")) / F.col("_sd")
     stepped = (
-        value_histogram(df, value, by)
-        .join(centre, list(by))
+        attach_measured(value_histogram(df, value, by), centre, list(by))
         .withColumn("_z", z)
         .withColumn("_cdf", normal_cdf(F.col("_z")))
     )

@@ -48,9 +48,24 @@ def sample_per_class(
     if most <= PRUNED_WINDOW:
         place = Window.partitionBy(label, "seed").orderBy("_draw", key)
         ranked = joined.withColumn("_at", F.row_number().over(place)).where(F.col("_at") <= most)
-    else:
-        ranked = row_numbers(joined, ["_draw", key], [label, "seed"], "_at").drop("total")
-    return ranked.where(F.col("_at") <= F.col("n_wanted")).drop("_at", "_draw", "n_wanted")
+        return ranked.where(F.col("_at") <= F.col("n_wanted")).drop("_at", "_draw", "n_wanted")
+    wanted = F.least(F.col("n_wanted"), F.col("total"))
+    cuts = _cuts(joined.select(label, "seed", "n_wanted", "_draw", key), key, [label, "seed"], wanted)
+    return _up_to_cut(joined, key, cuts, [label, "seed"]).where("_within").drop("_within", "_draw", "n_wanted")
+
+
+def _cuts(narrow: DataFrame, key: str, by: list[str], position: Column) -> DataFrame:
+    """The last drawn row of every group, one row per group. Only keys and draws are ranked, so wide
+    rows never move, and a group may hold most of them."""
+    ranked = row_numbers(narrow, ["_draw", key], by, "_at").where(F.col("_at") == position)
+    return ranked.select(*by, F.struct("_draw", F.col(key).alias("_key")).alias("_cut"))
+
+
+def _up_to_cut(df: DataFrame, key: str, cuts: DataFrame, by: list[str]) -> DataFrame:
+    """Adds ``_within``: the row is at or before the cut of its group. The cuts are one row per class
+    and usually small enough for the optimizer to broadcast."""
+    drawn = F.struct(F.col("_draw"), F.col(key).alias("_key"))
+    return df.join(cuts, by).withColumn("_within", drawn <= F.col("_cut")).drop("_cut")
 
 
 def rebalance(
@@ -78,8 +93,10 @@ def stratified_split(
     """
     percent = round((1 - test_share) * 100)
     drawn = df.withColumn("_draw", draw_order(F.col(key), seed))
-    ranked = row_numbers(drawn, ["_draw", key], [label], "_at")
-    cut = F.ceil(F.col("total") * percent / F.lit(100))
-    return ranked.withColumn(
-        "split", F.when(F.col("_at") <= cut, F.lit("train")).otherwise(F.lit("test"))
-    ).drop("_draw", "_at", "total")
+    last = F.ceil(F.col("total") * percent / F.lit(100))
+    cuts = _cuts(drawn.select(label, "_draw", key), key, [label], last)
+    return (
+        _up_to_cut(drawn, key, cuts, [label])
+        .withColumn("split", F.when(F.col("_within"), F.lit("train")).otherwise(F.lit("test")))
+        .drop("_draw", "_within")
+    )

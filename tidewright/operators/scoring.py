@@ -22,8 +22,8 @@ from tidewright.operators.frames import concat_frames
 from tidewright.operators.hotkeys import attach_counted
 from tidewright.session import cut_lineage
 
-# A trained profile is broadcast up to this many tokens; larger ones are joined by shuffle.
-BROADCAST_TOKENS = 200_000
+# A trained profile is broadcast up to this size, counted from its rows; larger ones are shuffled.
+BROADCAST_BYTES = 256 << 20
 MAX_LANGUAGES = 1_000
 # Settings of a grid fitted at the same time; the fits share one materialised input.
 PARALLEL_FITS = 3
@@ -58,6 +58,10 @@ class LanguageProfile:
     priors: list[float]
     units: list[float]
 
+    def size_bytes(self) -> int:
+        """Size of the broadcast rows: per token its text, an array header and one double each."""
+        return self.n_tokens * (96 + 8 * len(self.languages))
+
 
 def train_language_profile(df: DataFrame, text: str, language: str) -> LanguageProfile:
     counts = cut_lineage(
@@ -107,7 +111,7 @@ def detect_language(df: DataFrame, key: str, text: str, profile: LanguageProfile
     tokens = token_lists.select(key, F.explode_outer("tokens").alias("token"))
     width = range(len(profile.languages))
     zeros = F.array(*[F.lit(0.0) for _ in width])
-    if profile.n_tokens <= BROADCAST_TOKENS:
+    if profile.size_bytes() <= BROADCAST_BYTES:
         matched = tokens.join(F.broadcast(profile.gains.select("token", "gains")), "token", "left")
         rows = matched.select(
             key, F.when(F.col("token").isNotNull(), 1).otherwise(0).alias("n"), F.coalesce("gains", zeros).alias("gains")
@@ -211,25 +215,20 @@ def grid_search(
     with ThreadPool(PARALLEL_FITS) as pool:
         fits = base.fitMultiple(fit_on, settings)
         models = dict(pool.imap_unordered(lambda _: next(fits), settings))
-    # The cells of all settings are counted in one job; scores are computed per setting from them.
-    cells = cut_lineage(
-        concat_frames(
-            [
-                cell_counts(models[i].transform(test_on), label, "_prediction").withColumn("setting", F.lit(i))
-                for i in range(len(grid))
-            ]
-        )
-    )
-    classes = models[0].numClasses
-    out = concat_frames(
+    # One job scores the test part with every model; all settings are then evaluated together.
+    cells = concat_frames(
         [
-            overall_scores(class_scores(full_matrix(cells.where(F.col("setting") == i), classes))).select(
-                F.lit(i).alias("setting"), F.lit(grid[i][0]).alias("reg"), F.lit(grid[i][1]).alias("max_iter"),
-                "macro_f1", "weighted_f1",
-            )
+            cell_counts(models[i].transform(test_on), label, "_prediction").withColumn("setting", F.lit(i))
             for i in range(len(grid))
         ]
     )
+    by = ["setting"]
+    scores = overall_scores(class_scores(full_matrix(cut_lineage(cells), models[0].numClasses, by), by), by)
+    reg_of, iterations_of = (F.array(*[F.lit(g[i]) for g in grid]) for i in (0, 1))
+    out = scores.select(
+        "setting", reg_of[F.col("setting")].alias("reg"), iterations_of[F.col("setting")].alias("max_iter"),
+        "macro_f1", "weighted_f1",
+    )
     # Highest macro F1, earliest setting on ties, and only if above 0: one row per setting.
     out = cut_lineage(out)
     winner = out.where("macro_f1 > 0").agg(F.min_by("setting", F.struct(-F.col("macro_f1"), "setting"))).scalar()

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewright.operators.hotkeys import attach_measured
 from tidewright.operators.ranks import clean_numbers, exact_quantiles, quantiles_of, value_histogram
 
 
@@ -131,7 +132,7 @@ def _fences(hist: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
 def box_stats(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     """Quartiles, whiskers (most extreme values inside the fences) and outlier count per group."""
     hist = value_histogram(df, value, by)
-    joined = hist.join(_fences(hist, value, by), list(by))
+    joined = attach_measured(hist, _fences(hist, value, by), list(by))
     inside = F.col(value).between(F.col("low_fence"), F.col("high_fence"))
     return joined.groupBy(*by).agg(
         F.first("n_values").alias("n"),
@@ -147,7 +148,7 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
 def box_outliers(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     """Values outside the fences with their multiplicity."""
     hist = value_histogram(df, value, by)
-    joined = hist.join(_fences(hist, value, by), list(by))
+    joined = attach_measured(hist, _fences(hist, value, by), list(by))
     outside = (F.col(value) < F.col("low_fence")) | (F.col(value) > F.col("high_fence"))
     return joined.where(outside).select(*by, value, "n")
 
@@ -175,7 +176,7 @@ def density(df: DataFrame, value: str, by: Sequence[str], grid: int = 100, cut:
         .withColumn("_hi", F.col("_hi") + cut * F.col("bandwidth"))
         .withColumn("_step", (F.col("_hi") - F.col("_lo")) / (grid - 1))
     )
-    spread = counts.join(shape, by).select(
+    spread = attach_measured(counts, shape, by).select(
         *by, value, "n", "_n", "bandwidth", "_lo", "_step",
         F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point"),
     )

@@ -49,17 +49,20 @@ def _struct(**fields) -> StructType:
 _S, _T, _L, _I = StringType(), TimestampType(), LongType(), IntegerType()
 
 # Nested payloads as they arrive. Every key is optional; counters arrive as strings.
-VIDEO_PAYLOAD = _struct(
+# The two readings of a video payload parse only the half they need.
+VIDEO_SNIPPET_PAYLOAD = _struct(
     items=ArrayType(
         _struct(
             id=_S,
             snippet=_struct(
                 publishedAt=_S, title=_S, description=_S, categoryId=_S, tags=ArrayType(_S)
             ),
-            statistics=_struct(viewCount=_S, likeCount=_S, commentCount=_S),
         )
     )
 )
+VIDEO_STATS_PAYLOAD = _struct(
+    items=ArrayType(_struct(id=_S, statistics=_struct(viewCount=_S, likeCount=_S, commentCount=_S)))
+)
 COMMENT_PAYLOAD = _struct(
     items=ArrayType(
         _struct(
