@@ -417,7 +417,7 @@ def s10b(t: Tables) -> DataFrame:
 def s11(t: Tables) -> DataFrame:
     fits = decay.fit_decay(t.curves(), "grp", "t", "y")
     return fits.select(
-        "grp", F.round("decay_const", 3).alias("rate"), F.round("start_value", -1).alias("start_value"), F.round("floor_value", 0).alias("floor_value")
+        "grp", F.round("decay_const", 3).alias("rate"), F.round("start_value", -2).alias("start_value"), F.round("floor_value", -1).alias("floor_value")
     )
 
 

@@ -45,8 +45,9 @@ def _best_on_grid(cells: DataFrame, rates: DataFrame, log_step: float) -> DataFr
         .withColumn("j", steps)
         .withColumn("rate", F.col("centre") * F.exp(F.lit(log_step) * F.col("j")))
     )
-    # x = 1 - exp(-rate t): the model is linear in x, top = V0 + floor and slope = -V0. Using x and
-    # the centred y keeps precision when the curve is nearly flat or the fit nearly perfect.
+    # x = 1 - exp(-rate t): the model is linear in x, top = V0 + floor and slope = -V0. Time counts
+    # from the group's first age, so x runs from 0 to at most 1 whatever the rate; with the centred y
+    # this keeps precision for nearly flat, very steep and nearly perfect curves.
     w, x, y = F.col("w"), -F.expm1(-F.col("rate") * F.col("t")), F.col("y") - F.col("y_mean")
     sums = (
         grid.withColumns({"x": x, "yc": y})
@@ -94,9 +95,11 @@ def fit_decay(df: DataFrame, group: str, t: str, y: str) -> DataFrame:
     # Bounded by groups x distinct ages; read by every round below.
     cells = cut_lineage(cells)
     means = cells.groupBy("g").agg(
-        (F.sum(F.col("w") * F.col("y")) / F.sum("w")).alias("y_mean"), F.sum("scatter").alias("inner")
+        (F.sum(F.col("w") * F.col("y")) / F.sum("w")).alias("y_mean"),
+        F.sum("scatter").alias("inner"),
+        F.min("t").alias("t_min"),
     )
-    cells = cells.join(means.select("g", "y_mean"), "g")
+    cells = cells.join(means.select("g", "y_mean", "t_min"), "g").withColumn("t", F.col("t") - F.col("t_min"))
     span = HIGHEST_RATE / LOWEST_RATE
     log_step = log(span) / GRID
     best = means.select("g", F.lit((LOWEST_RATE * HIGHEST_RATE) ** 0.5).alias("centre"))
@@ -122,12 +125,13 @@ def fit_decay(df: DataFrame, group: str, t: str, y: str) -> DataFrame:
     )
     n, ee, e1, ete, te1, tete = (F.col(c) for c in ("n", "_ee", "_e", "_ete", "_te", "_tete"))
     v = F.col("start_value")
-    # Normal matrix of (V0, rate, floor): [[ee, -v ete, e], [., v^2 tete, -v te], [., ., n]].
+    # Normal matrix of (V0, rate, floor): [[ee, -v ete, e], [., v^2 tete, -v te], [., ., n]]. Shifting
+    # the time rescales V0 only, so the variance of the rate is that of the unshifted model.
     minor = ee * n - e1 * e1
     det = v * v * (tete * minor - ete * (ete * n - te1 * e1) + te1 * (ete * e1 - te1 * ee))
     noise = F.try_divide(F.col("sse"), n - 3)
     return (
-        sums.join(means.select("g", "inner"), "g")
+        sums.join(means.select("g", "inner", "t_min"), "g")
         .withColumn("sse", F.col("_miss") + F.col("inner"))
         .withColumn(
             "rate_error",
@@ -136,7 +140,8 @@ def fit_decay(df: DataFrame, group: str, t: str, y: str) -> DataFrame:
             ),
         )
         .select(
-            F.col("g").alias(group), n.cast("long").alias("n"), "decay_const", "start_value",
+            F.col("g").alias(group), n.cast("long").alias("n"), "decay_const",
+            (v * F.exp(F.col("decay_const") * F.col("t_min"))).alias("start_value"),
             "floor_value", "sse", "rate_error",
         )
     )

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -54,10 +54,9 @@ def append_records(
     if conflicts and on_conflict == "reject":
         return AppendResult(0, conflicts)
     rows = admitted(batch, existing, key, "skip") if conflicts else batch
-    written = rows.count()
-    if written:
-        rows.write.mode("append").parquet(path)
-    return AppendResult(written, conflicts)
+    seen = Observation()
+    rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(path)
+    return AppendResult(seen.get["n"], conflicts)
 
 
 class VersionedTable:
