@@ -311,9 +311,15 @@ def s05(t: Tables) -> DataFrame:
     )
 
 
-@query("s05_normality_report")
+@query(
+    "s05_normality_report",
+    MOMENTS_SQL + """ SELECT grp, CAST(n AS BIGINT) AS n, 'dagostino' AS test_name, round(z1 * z1 + z2 * z2, 5) AS stat,
+                             exp(-(z1 * z1 + z2 * z2) / 2) > 0.05 AS is_normal FROM zz""",
+)
 def s05b(t: Tables) -> DataFrame:
-    return normality.test_by_size(t.prices(), "price", ["grp"], "lilliefors", "dagostino", 200)
+    """Every priority has more than 200 orders, so the omnibus test is chosen throughout."""
+    out = normality.test_by_size(t.prices(), "price", ["grp"], "lilliefors", "dagostino", 200)
+    return out.select("grp", "n", "test_name", F.round("stat", 5).alias("stat"), "is_normal")
 
 
 @query(
@@ -404,10 +410,21 @@ def s10(t: Tables) -> DataFrame:
     return rounded(group_tests.spearman(s10_input(t), "doc_id", S10), 6, "rho")
 
 
-@query("s10_spearman_features")
+S10_FEATURES = ["video_age_days", "lifetime_engagement_rate", "marginal_engagement_rate", "daily_view_velocity"]
+
+
+def _feature_ranks_sql() -> str:
+    complete = " AND ".join(f"{c} IS NOT NULL" for c in S10_FEATURES)
+    ranked = ", ".join(f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0 AS {c}" for c in S10_FEATURES)
+    cells = " UNION ALL ".join(
+        f"SELECT '{a}' AS column_a, '{b}' AS column_b, round(corr({a}, {b}), 6) AS rho FROM r" for a in S10_FEATURES for b in S10_FEATURES
+    )
+    return f"WITH r AS (SELECT {ranked} FROM features WHERE {complete}) {cells}"
+
+
+@query("s10_spearman_features", _feature_ranks_sql())
 def s10b(t: Tables) -> DataFrame:
-    columns = ["video_age_days", "lifetime_engagement_rate", "marginal_engagement_rate", "daily_view_velocity"]
-    return group_tests.spearman(t.features(), "video_id", columns)
+    return rounded(group_tests.spearman(t.features(), "video_id", S10_FEATURES), 6, "rho")
 
 
 # ---- decay: the curves have a known rate, so the check states the truth
@@ -426,14 +443,42 @@ def _tier_counts_sql() -> str:
               'Reliable' AS tier FROM part"""
 
 
-@query("s12_rate_error")
+def _least_squares_sql() -> str:
+    """Gauss-Newton from the known truth: an independent route to the same optimum."""
+    ctes = ["p0 AS (SELECT DISTINCT grp, 1000.0::DOUBLE AS v, 0.02::DOUBLE * (1 + length(grp) % 4) AS r, 20.0::DOUBLE AS f FROM curves)"]
+    for i in range(4):
+        ctes.append(
+            f"""s{i} AS (
+              SELECT grp, any_value(v) AS v, any_value(r) AS r, any_value(f) AS f, count(*) AS n, sum(m * m) AS sse, sum(e * e) AS a, sum(e * d) AS b,
+                     sum(e) AS c, sum(d * d) AS g, sum(d) AS h, sum(e * m) AS x, sum(d * m) AS y, sum(m) AS z
+              FROM (SELECT p.*, exp(-r * t) AS e, -v * t * exp(-r * t) AS d, k.y - (v * exp(-r * t) + f) AS m
+                    FROM curves AS k JOIN p{i} AS p ON k.grp = p.grp) AS j GROUP BY grp),
+            d{i} AS (SELECT *, a * (g * n - h * h) - b * (b * n - h * c) + c * (b * h - g * c) AS det FROM s{i}),
+            p{i + 1} AS (
+              SELECT grp, v + (x * (g * n - h * h) - b * (y * n - h * z) + c * (y * h - g * z)) / det AS v,
+                     r + (a * (y * n - z * h) - x * (b * n - h * c) + c * (b * z - y * c)) / det AS r,
+                     f + (a * (g * z - y * h) - b * (b * z - y * c) + x * (b * h - g * c)) / det AS f FROM d{i})"""
+        )
+    ctes.append("fit AS (SELECT grp, n, r, sqrt(sse / (n - 3) * (a * n - c * c) / det) AS se FROM d3)")
+    return "WITH " + ", ".join(ctes)
+
+
+@query("s12_rate_error", _least_squares_sql() + " SELECT grp, n, round(r, 6) AS decay_const, round(se, 7) AS rate_error FROM fit")
 def s12(t: Tables) -> DataFrame:
-    return decay.fit_decay(t.curves(), "grp", "t", "y").select("grp", "n", "decay_const", "rate_error", "sse")
+    fits = decay.fit_decay(t.curves(), "grp", "t", "y")
+    return fits.select("grp", "n", F.round("decay_const", 6).alias("decay_const"), F.round("rate_error", 7).alias("rate_error"))
 
 
-@query("s13_half_life_bounds")
+@query(
+    "s13_half_life_bounds",
+    _least_squares_sql() + """, h AS (SELECT grp, ln(2) / r AS hl, ln(2) / (r + 1.96 * se) AS lo, ln(2) / (r - 1.96 * se) AS hi FROM fit)
+      SELECT grp, round(hl, 2) AS half_life, round(lo, 2) AS lower, round(hi, 2) AS upper, round((hi - lo) / 2 / hl * 100, 3) AS margin FROM h""",
+)
 def s13(t: Tables) -> DataFrame:
-    return decay.half_life_bounds(decay.fit_decay(t.curves(), "grp", "t", "y")).select("grp", "half_life", "lower", "upper", "margin")
+    bounds = decay.half_life_bounds(decay.fit_decay(t.curves(), "grp", "t", "y"))
+    return rounded(bounds.select("grp", "half_life", "lower", "upper", "margin"), 2, "half_life", "lower", "upper").withColumn(
+        "margin", F.round("margin", 3)
+    )
 
 
 @query("s14_reliability_tier", _tier_counts_sql())

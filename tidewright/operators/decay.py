@@ -18,7 +18,7 @@ from tidewright.session import cut_lineage
 from tidewright.schemas import LOWEST_TIER, RELIABILITY_TIERS
 
 LOWEST_RATE, HIGHEST_RATE, GRID = 1e-5, 10.0, 200
-ROUNDS = 3
+ROUNDS = 4
 Z95 = 1.96
 
 

@@ -214,11 +214,14 @@ def test_by_size(
     """One test for groups with more than ``above`` values, another for the rest, and the decision
     at 5 %. ``small`` and ``large`` name one of the three group tests of this module."""
     tests = {"dagostino": dagostino, "lilliefors": lilliefors, "shapiro": shapiro}
-    keep = {small: F.col("n") <= above, large: F.col("n") > above}
+    data = clean_numbers(df, value).select(*by, value)
+    sizes = data.groupBy(*by).agg(F.count(F.lit(1)).alias("_size"))
+    sized = attach_measured(data, sizes, list(by))
+    keep = {small: F.col("_size") <= above, large: F.col("_size") > above}
     parts = [
-        tests[name](df, value, by)
-        .where(keep[name])
-        .select(*by, "n", F.lit(name).alias("test_name"), "stat", "p_value")
+        tests[name](sized.where(keep[name]), value, by).select(
+            *by, "n", F.lit(name).alias("test_name"), "stat", "p_value"
+        )
         for name in (small, large)
     ]
     return parts[0].unionByName(parts[1]).withColumn("is_normal", F.col("p_value") > ALPHA)
