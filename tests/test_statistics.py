@@ -40,6 +40,14 @@ def test_lilliefors_matches_brute_force(spark):
     assert got["a"]["p_value"] > 0.05 > got["b"]["p_value"]
 
 
+def test_lilliefors_without_scale(spark):
+    got = {r["g"]: r for r in normality.lilliefors(grouped(spark, {"flat": [2, 2, 2], "one": [1], "ok": [1, 2, 4, 9]}), "v", ["g"]).collect()}
+    assert got["flat"]["stat"] is got["flat"]["p_value"] is got["one"]["stat"] is None
+    assert 0 < got["ok"]["p_value"] <= 1
+    with pytest.raises(ValueError):
+        normality.test_by_size(grouped(spark, {"a": [1]}), "v", ["g"], "shapiro", "lilliefors", 6000)
+
+
 def test_shapiro_edges(spark):
     got = {r["g"]: r for r in normality.shapiro(grouped(spark, {"three": [1, 2, 4], "flat": [5, 5, 5, 5], "two": [1, 2]}), "v", ["g"]).collect()}
     assert set(got) == {"three", "flat"}

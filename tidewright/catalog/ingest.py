@@ -21,7 +21,7 @@ from tidewright.catalog.shapes import FORMAT_ORDER, Tables
 from tidewright.functions.times import keep_record
 from tidewright.operators import ingest, integrity
 from tidewright.plans.landing import land_run
-from tidewright.schemas import COMMENTS, RAW_COMMENTS, RAW_VIDEOS, SNIPPETS, STATS
+from tidewright.schemas import COMMENTS, RAW_VIDEOS, SNIPPETS, STATS
 from tidewright.session import fresh_path
 from tidewright.sources import files, tables
 from tidewright.streaming import ingest as streams

@@ -11,11 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructType
 
 from tidewright.operators.frames import literal_frame
+from tidewright.operators.hotkeys import attach_measured
 from tidewright.operators.ranks import row_numbers
 from tidewright.schemas import SAMPLE_SIZE
 
 # Up to this many rows per group the optimizer prunes a ranked window below the shuffle.
 PRUNED_WINDOW = 1000
+# Hex digits of a draw that name its slice.
+SLICE_DIGITS = 3
 
 
 def draw_order(key: Column, seed: Column | int) -> Column:
@@ -55,17 +58,35 @@ def sample_per_class(
 
 
 def _cuts(narrow: DataFrame, key: str, by: list[str], position: Column) -> DataFrame:
-    """The last drawn row of every group, one row per group. Only keys and draws are ranked, so wide
-    rows never move, and a group may hold most of them."""
-    ranked = row_numbers(narrow, ["_draw", key], by, "_at").where(F.col("_at") == position)
+    """The last drawn row of every group, one row per group.
+
+    Draws are uniform, so counting them by their leading digits tells which small slice of a group
+    holds the wanted position; only that slice (one in 4096 rows) is ranked. Wide rows never move,
+    and a group may hold most of them.
+    """
+    narrow = narrow.withColumn("_slice", F.substring("_draw", 1, SLICE_DIGITS))
+    extra = [c for c in narrow.columns if c not in (*by, "_draw", key, "_slice")]
+    counts = narrow.groupBy(*by, "_slice").agg(
+        F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in extra]
+    )
+    # At most 16 ** SLICE_DIGITS rows per group.
+    group = Window.partitionBy(*by)
+    running = group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, 0)
+    chosen = (
+        counts.withColumns({"total": F.sum("_n").over(group), "_upto": F.sum("_n").over(running)})
+        .withColumn("_position", position)
+        .where((F.col("_position") <= F.col("_upto")) & (F.col("_position") > F.col("_upto") - F.col("_n")))
+        .select(*by, "_slice", (F.col("_position") - F.col("_upto") + F.col("_n")).alias("_rank"))
+    )
+    inside = attach_measured(narrow.select(*by, "_draw", key, "_slice"), chosen, [*by, "_slice"])
+    ranked = row_numbers(inside, ["_draw", key], by, "_at").where(F.col("_at") == F.col("_rank"))
     return ranked.select(*by, F.struct("_draw", F.col(key).alias("_key")).alias("_cut"))
 
 
 def _up_to_cut(df: DataFrame, key: str, cuts: DataFrame, by: list[str]) -> DataFrame:
-    """Adds ``_within``: the row is at or before the cut of its group. The cuts are one row per class
-    and usually small enough for the optimizer to broadcast."""
+    """Adds ``_within``: the row is at or before the cut of its group."""
     drawn = F.struct(F.col("_draw"), F.col(key).alias("_key"))
-    return df.join(cuts, by).withColumn("_within", drawn <= F.col("_cut")).drop("_cut")
+    return attach_measured(df, cuts, by).withColumn("_within", drawn <= F.col("_cut")).drop("_cut")
 
 
 def rebalance(
