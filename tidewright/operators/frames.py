@@ -45,8 +45,8 @@ def only_listed(df: DataFrame, column: str, *lists: DataFrame) -> DataFrame:
 
 def min_max_scaled(df: DataFrame, column: str) -> Column:
     """Scaled to [0, 1] over ``df``; a constant column gives null."""
-    low = df.agg(F.min(column)).scalar()
-    high = df.agg(F.max(column)).scalar()
+    bounds = df.agg(F.struct(F.min(column).alias("low"), F.max(column).alias("high"))).scalar()
+    low, high = bounds["low"], bounds["high"]
     return F.try_divide(F.col(column) - low, high - low)
 
 

@@ -12,6 +12,7 @@ from tidewright.functions.distributions import chi2_p, f_p, two_sided_p
 from tidewright.operators.hotkeys import attach_counted, attach_measured
 from tidewright.operators.ranks import average_ranks, clean_numbers, exact_quantiles
 from tidewright.schemas import ALPHA
+from tidewright.session import cut_lineage
 
 
 def levene(df: DataFrame, value: str, by: str) -> DataFrame:
@@ -71,12 +72,11 @@ def rank_sums(df: DataFrame, value: str, by: str) -> tuple[DataFrame, DataFrame]
 def kruskal(df: DataFrame, value: str, by: str) -> DataFrame:
     """Kruskal-Wallis H with tie correction."""
     groups, overall = rank_sums(df, value, by)
-    total = overall.select("total").scalar()
-    ties = overall.select("ties").scalar()
+    all_rows = overall.select(F.struct("total", "ties")).scalar()
     out = groups.agg(
         F.count(F.lit(1)).cast("double").alias("k"),
         F.sum(F.col("rank_sum") * F.col("rank_sum") / F.col("n")).alias("_s"),
-    ).withColumns({"_n": total, "_ties": ties})
+    ).withColumns({"_n": all_rows["total"], "_ties": all_rows["ties"]})
     n = F.col("_n")
     raw = F.lit(12.0) / (n * (n + 1)) * F.col("_s") - 3 * (n + 1)
     correction = 1 - F.col("_ties") / (n * n * n - n)
@@ -104,9 +104,8 @@ def dunn(df: DataFrame, value: str, by: str) -> DataFrame:
         F.col("i").alias("partner"), F.col(by).alias("group_b"), F.col("n").alias("n_b"),
         F.col("mean_rank").alias("rank_b"),
     )
-    n = overall.select("total").scalar()
-    ties = overall.select("ties").scalar()
-    pairs = left.join(right, "partner").withColumns({"_n": n, "_ties": ties})
+    all_rows = overall.select(F.struct("total", "ties")).scalar()
+    pairs = left.join(right, "partner").withColumns({"_n": all_rows["total"], "_ties": all_rows["ties"]})
     big = F.col("_n")
     variance = (big * (big + 1) / 12 - F.col("_ties") / (12 * (big - 1))) * (
         1 / F.col("n_a") + 1 / F.col("n_b")
@@ -140,8 +139,8 @@ def same_level_pairs(pairs: DataFrame, alpha: float = ALPHA) -> DataFrame:
 
 def p_matrix(pairs: DataFrame) -> DataFrame:
     """Symmetric matrix in long form with a unit diagonal and the ``>= 0.05`` flag."""
-    ab = pairs.select("group_a", "group_b", "p_adjusted")
-    ba = pairs.select(F.col("group_b").alias("group_a"), F.col("group_a").alias("group_b"), "p_adjusted")
+    ab = cut_lineage(pairs.select("group_a", "group_b", "p_adjusted"))
+    ba = ab.select(F.col("group_b").alias("group_a"), F.col("group_a").alias("group_b"), "p_adjusted")
     names = ab.select("group_a").union(ab.select("group_b")).distinct()
     diagonal = names.select("group_a", F.col("group_a").alias("group_b"), F.lit(1.0).alias("p_adjusted"))
     return (

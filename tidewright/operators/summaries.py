@@ -99,10 +99,9 @@ def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
     """Equal-width bins from minimum to maximum, the last one closed; empty bins are listed."""
     spark = df.sparkSession
     data = clean_numbers(df, value)
-    bounds = data.agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
-    flat = F.col("lo") == F.col("hi")
-    lo = bounds.select(F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo"))).scalar()
-    hi = bounds.select(F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi"))).scalar()
+    margin = F.when(F.min(value) == F.max(value), 0.5).otherwise(0.0)
+    bounds = data.agg(F.struct((F.min(value) - margin).alias("lo"), (F.max(value) + margin).alias("hi"))).scalar()
+    lo, hi = bounds["lo"], bounds["hi"]
     place = F.floor((F.col(value) - lo) / (hi - lo) * bins).cast("int")
     counts = (
         data.withColumn("bin", F.least(place, F.lit(bins - 1)))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -30,12 +29,10 @@ class AppendResult:
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A parquet table, or an empty frame of its schema before the first write."""
-    try:
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location):
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    return spark.createDataFrame([], schema)
 
 
 def append_records(
