@@ -105,8 +105,8 @@ def folded(subject: Column) -> Column:
 
 
 def rule_matches(subject: Column, pattern: str) -> Column:
-    """The regex runs only on texts that contain one of its needles: substring search is an order of
-    magnitude cheaper than a case-insensitive alternation, and hits are rare."""
+    """The regex runs only on texts that contain one of its needles: a substring search is cheaper
+    than a case-insensitive alternation, and hits are rare."""
     if pattern.startswith("(?i)"):
         hits = [F.contains(folded(subject), F.lit(n.lower())) for n in needles(pattern)]
     else:
