@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import mixing, secrets, simhash
+import corpus_pipeline
+from tidewright.llm import decontam, mixing, quality, secrets, simhash, tokens, toxicity
 from tidewright.llm.common import table
 
 
@@ -17,6 +19,14 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     findings, _ = secrets.scan_versions(table(spark, sf_dir, "documents"))
     said = lambda spans: F.array_join(
@@ -32,11 +42,19 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.mark_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"])
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mixing, op5_secrets, op9_simhash)
-}
-SQL: dict[str, str] = {}
+    f.__name__: f for f in (op1_mixing, op3_toxicity, op4_tokens, op5_secrets, op8_decontamination, op9_simhash, op10_quality)
+} | {"pipeline": corpus_pipeline.run}
+SQL: dict[str, str] = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import per_batch, text_bytes
+from tidewright.llm.common import fresh, per_batch, text_bytes
 from tidewright.session import cut_lineage
 
 # The base rules.
@@ -112,3 +112,34 @@ def scan_versions(
         F.col("path").alias(path), "blob", F.coalesce("spans", F.array().cast(SPAN)).alias("spans")
     )
     return findings, new
+
+
+def mask(docs: DataFrame, by: str, path: str = "doc_id", text: str = "text", length: str = "n_chars", rules: Rules = Rules()) -> DataFrame:
+    """All documents with their secrets replaced by ``by`` (overlapping spans by one), and the length
+    column set anew where the text changed. Null texts stay null.
+
+    The spans come from the ledger scan; only blobs with findings meet the documents again.
+    """
+    rows = addressed(docs, path, text)
+    new = cut_lineage(scan_blobs(rows.select("blob", "raw").dropDuplicates(["blob"]), rules))
+    hits = new.where(F.size("spans") > 0).select(
+        F.col("blob").alias(fresh(docs, "_blob")), F.col("spans").alias(fresh(docs, "_spans"))
+    )
+    blob, spans = hits.columns
+
+    def step(done, span):
+        s, e = span["start"].cast("int"), span["end"].cast("int")
+        given = F.concat(done["out"], F.substring(F.col(text), done["at"] + 1, s - done["at"]), F.lit(by))
+        return F.struct(
+            F.when(s >= done["at"], given).otherwise(done["out"]).alias("out"), F.greatest(done["at"], e).alias("at")
+        )
+
+    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
+    rest = lambda done: F.concat(done["out"], F.substring(F.col(text), done["at"] + 1, F.length(text)))
+    joined = docs.join(hits, F.sha2(text_bytes(text), 256) == F.col(blob), "left")
+    changed = F.when(F.col(spans).isNotNull(), F.aggregate(spans, start, step, rest)).otherwise(F.col(text))
+    out = joined.withColumn(text, changed)
+    if length in docs.columns:
+        kind = docs.schema[length].dataType
+        out = out.withColumn(length, F.when(F.col(spans).isNotNull(), F.length(text).cast(kind)).otherwise(F.col(length)))
+    return out.select(*docs.columns)

@@ -197,3 +197,27 @@ def near_duplicates(
     return prints.join(of_print, "fp").select(
         F.col("key").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def keep_representatives(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS, shingle: int = SHINGLE
+) -> DataFrame:
+    """One document of each group of near-duplicates, with all columns: the one with the smallest key
+    (of several rows with that key and fingerprint, any one; a null key only where the group has no other).
+
+    Each text moves once, to the others with its key; the hot fingerprint is one row by then.
+    """
+    mark = fresh(docs, "_print")
+    marked = with_fingerprint(docs, text, docs.columns, shingle, mark)
+    prints = cut_lineage(marked.select(F.col(key).alias("key"), F.col(mark).alias("fp")))
+    least = cut_lineage(prints.groupBy("fp").agg(F.min("key").alias("least")))
+    roots = components(near_links(least, radius))
+    named = least.join(roots, least.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    # Of the prints in a group, the one that holds the smallest key (the smaller print on a tie).
+    order = F.struct(F.col("least").isNull(), F.col("least"), F.col("fp"))
+    kept = named.groupBy("root").agg(F.min(order).alias("k")).select(
+        F.col("k.least").alias(fresh(docs, "_least")), F.col("k.fp").alias(fresh(docs, "_kept"))
+    )
+    kept_key, kept_print = kept.columns
+    joined = marked.join(cut_lineage(kept), F.col(key).eqNullSafe(F.col(kept_key)) & (F.col(mark) == F.col(kept_print)), "left_semi")
+    return joined.dropDuplicates([key, mark]).select(*docs.columns)
