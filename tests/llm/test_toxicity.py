@@ -44,7 +44,8 @@ def test_later_models_see_earlier_probabilities():
     draw = np.random.default_rng(0)
     found = [{"mark"} if m else {"plain"} for m in draw.random(300) < 0.4]
     y = np.array([[float("mark" in f)] * 2 for f in found])
-    chain = toxicity.fit_chain(found, y, ["a", "b"], {"mark": 0, "plain": 1}, np.arange(300) % toxicity.FOLDS)
+    words = {"mark": 0, "plain": 1}
+    chain = toxicity.fit_chain(*toxicity._incidence(found, words), y, ["a", "b"], words, np.arange(300) % toxicity.FOLDS)
     assert len(chain.weights[0]) == 3 and len(chain.weights[1]) == 4
     assert chain.weights[1][1] > 0.3
     p = chain.probabilities(["mark", "plain", None])
@@ -58,7 +59,7 @@ def test_out_of_fold_probabilities_do_not_leak():
     first = (draw.random(200) < 0.5).astype(float)
     y = np.column_stack([first, first])
     vocabulary = {f"w{i}": i for i in range(200)}
-    chain = toxicity.fit_chain(found, y, ["a", "b"], vocabulary, np.arange(200) % toxicity.FOLDS)
+    chain = toxicity.fit_chain(*toxicity._incidence(found, vocabulary), y, ["a", "b"], vocabulary, np.arange(200) % toxicity.FOLDS)
     assert chain.weights[1][1] < 0.3
 
 

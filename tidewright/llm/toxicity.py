@@ -13,8 +13,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401 - pa.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from tidewright.llm.common import fresh, per_batch
 from tidewright.session import cut_lineage
@@ -101,14 +103,16 @@ def fit_linear(
     return w
 
 
-def fit_chain(found: list[set[str]], y: np.ndarray, names: Sequence[str], vocabulary: dict[str, int], fold: np.ndarray) -> Chain:
-    rows, cols = _incidence(found, vocabulary)
-    earlier, weights = np.zeros((len(found), 0)), []
+def fit_chain(
+    rows: np.ndarray, cols: np.ndarray, y: np.ndarray, names: Sequence[str], vocabulary: dict[str, int], fold: np.ndarray
+) -> Chain:
+    """``rows`` and ``cols`` say which document has which word of the vocabulary."""
+    earlier, weights = np.zeros((len(y), 0)), []
     for c in range(y.shape[1]):
         weights.append(fit_linear(rows, cols, len(vocabulary), earlier, y[:, c]))
         if c + 1 == y.shape[1]:
             break
-        unseen = np.zeros(len(found))
+        unseen = np.zeros(len(y))
         for f in range(FOLDS):
             inside = fold != f
             new_row = np.cumsum(inside) - 1
@@ -158,11 +162,17 @@ def train(
     best = counts.where(F.col("n") >= LEAST_DOCUMENTS).select("word", F.greatest(*surprise, F.lit(0.0)).alias("told"))
     chosen = [r["word"] for r in best.where(F.col("told") >= LEAST_SURPRISE).orderBy(F.desc("told"), "word").limit(VOCABULARY).collect()]
     vocabulary = {w: i for i, w in enumerate(chosen)}
-    hits = drawn.select(
-        "_key", *names, F.array_intersect("_words", F.array(*[F.lit(w) for w in chosen]) if chosen else F.array().cast("array<string>")).alias("_words")
-    ).orderBy(F.xxhash64("_key"), "_key", "_words").limit(rows).collect()
-    y = np.array([[float(r[c]) for c in names] for r in hits]).reshape(-1, len(names))
-    return fit_chain([set(r["_words"]) for r in hits], y, names, vocabulary, np.arange(len(hits)) % FOLDS)
+
+    def place(batch: pa.RecordBatch) -> pa.RecordBatch:
+        hits = [sorted(vocabulary[w] for w in words if w in vocabulary) for words in batch.column(batch.num_columns - 1).to_pylist()]
+        return pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(hits, pa.list_(pa.int32()))], names=[*batch.schema.names[:-1], "_hits"])
+
+    schema = drawn.drop("_words").schema.add("_hits", ArrayType(IntegerType()))
+    hits = drawn.mapInArrow(per_batch(place), schema).orderBy(F.xxhash64("_key"), "_key", "_hits").limit(rows).toArrow()
+    y = np.column_stack([hits.column(c).to_numpy().astype(float) for c in names])
+    lists = hits.column("_hits").combine_chunks()
+    at = np.repeat(np.arange(len(y)), pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64))
+    return fit_chain(at, lists.flatten().to_numpy().astype(np.int64), y, names, vocabulary, np.arange(len(y)) % FOLDS)
 
 
 def score(docs: DataFrame, model: Chain, text: str, keep: Sequence[str], prefix: str = "p_") -> DataFrame:
