@@ -27,8 +27,8 @@ CONSISTENCY = 0.8
 # Bits of the filter that keeps most document windows out of the join: a fixed size, whatever the
 # benchmark's. A crowded filter lets more windows through; the join decides either way.
 FILTER_BITS = 24
-# Distinct words whose codes a task keeps between batches.
-KEPT = 300_000
+# Words with capitals, digits or signs whose codes a task keeps between batches.
+KEPT = 200_000
 
 # Unit names a number can carry.
 UNITS = frozenset(
@@ -61,23 +61,28 @@ def describe(word: str) -> tuple[int, int, int, int, int]:
 
 
 class Codes:
-    """The descriptions of the words met so far, as one row each; emptied when it has grown too large."""
+    """Descriptions of words, one row each. Most words are plain lower-case letters and stand for
+    themselves; those of the others are kept in a table of bounded size."""
 
     def __init__(self):
-        self.places: dict[str, int] = {}
-        self.rows = np.zeros((1024, 5), dtype=np.uint64)
+        self.known: dict[str, tuple] = {}
 
     def of(self, words: list[str]) -> np.ndarray:
-        new = set(words) - self.places.keys()
-        if len(self.places) + len(new) > KEPT:
-            self.places.clear()
-            new = set(words)
-        while len(self.places) + len(new) > len(self.rows):
-            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        for w in new:
-            place = self.places[w] = len(self.places)
-            self.rows[place] = describe(w)
-        return self.rows[np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))]
+        table = np.zeros((len(words), 5), dtype=np.uint64)
+        table[:, :4] = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))[:, None]
+        odd = [i for i, w in enumerate(words) if not (w.islower() and w.isalpha())]
+        if odd:
+            if len(self.known) > KEPT:
+                self.known.clear()
+            known, rows = self.known, []
+            for i in odd:
+                w = words[i]
+                row = known.get(w)
+                if row is None:
+                    row = known[w] = describe(w)
+                rows.append(row)
+            table[odd] = np.array(rows, dtype=np.uint64)
+        return table
 
 
 def window_codes(table: np.ndarray, size: int) -> np.ndarray:
