@@ -23,7 +23,7 @@ from tidewright.session import cut_lineage
 
 # Labelled documents the models are fitted on: the first so many in the order of a hash of the key.
 TRAIN_ROWS = 20_000
-VOCABULARY = 2_000
+VOCABULARY = 600
 LEAST_DOCUMENTS = 5
 # A word tells a category if its share of marked documents is so many standard errors off the mean.
 LEAST_SURPRISE = 4.0
@@ -79,7 +79,7 @@ def _probability(w: np.ndarray, rows: np.ndarray, cols: np.ndarray, earlier: np.
 
 
 def fit_linear(
-    rows: np.ndarray, cols: np.ndarray, n_words: int, earlier: np.ndarray, y: np.ndarray, ridge: float = 0.3, steps: int = 400
+    rows: np.ndarray, cols: np.ndarray, n_words: int, earlier: np.ndarray, y: np.ndarray, ridge: float = 0.3, steps: int = 250
 ) -> np.ndarray:
     """Logistic regression with a ridge on all but the bias, by accelerated gradient steps scaled per
     weight with a bound on its curvature."""
