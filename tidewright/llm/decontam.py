@@ -70,7 +70,7 @@ class Codes:
     def of(self, words: list[str]) -> np.ndarray:
         table = np.zeros((len(words), 5), dtype=np.uint64)
         table[:, :4] = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))[:, None]
-        odd = [i for i, w in enumerate(words) if not (w.islower() and w.isalpha())]
+        odd = [i for i, w in enumerate(words) if w in UNITS or not (w.islower() and w.isalpha())]
         if odd:
             if len(self.known) > KEPT:
                 self.known.clear()
