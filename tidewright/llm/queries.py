@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidewright.llm import decontam, mixing, quality, secrets, simhash, tokens, toxicity, vectors
+from tidewright.llm import decontam, mixing, pages, quality, secrets, simhash, tokens, toxicity, vectors
 from tidewright.llm.common import table
 
 
@@ -42,6 +42,10 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op7_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -59,6 +63,6 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mixing, op3_toxicity, op4_tokens, op5_secrets, op7_vectors, op8_decontamination, op9_simhash, op10_quality)
+    f.__name__: f for f in (op1_mixing, op3_toxicity, op4_tokens, op5_secrets, op6_pages, op7_vectors, op8_decontamination, op9_simhash, op10_quality)
 } | {"pipeline": corpus_pipeline.run}
 SQL: dict[str, str] = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
