@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidewright.llm import decontam, mixing, pages, quality, secrets, simhash, tokens, toxicity, vectors
+from tidewright.llm import decontam, mixing, pages, quality, repeats, secrets, simhash, tokens, toxicity, vectors
 from tidewright.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -63,6 +67,6 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mixing, op3_toxicity, op4_tokens, op5_secrets, op6_pages, op7_vectors, op8_decontamination, op9_simhash, op10_quality)
+    f.__name__: f for f in (op1_mixing, op2_repeats, op3_toxicity, op4_tokens, op5_secrets, op6_pages, op7_vectors, op8_decontamination, op9_simhash, op10_quality)
 } | {"pipeline": corpus_pipeline.run}
 SQL: dict[str, str] = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
