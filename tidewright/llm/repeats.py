@@ -278,9 +278,13 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
 
     def count(table: pa.Table) -> pa.Table:
         arrays = [np.frombuffer(b, np.uint32) for b in table.column("blob").to_pylist()]
-        values = np.sort(np.concatenate([np.unique(a) for a in arrays]))
-        again = np.unique(values[1:][values[1:] == values[:-1]])
-        bits = [np.packbits(np.isin(a, again)).tobytes() for a in arrays]
+        values = np.concatenate(arrays)
+        order = np.argsort(values)
+        same = values[order[1:]] == values[order[:-1]]
+        again = np.zeros(len(values), dtype=bool)
+        again[order[1:][same]] = True
+        again[order[:-1][same]] = True
+        bits = [np.packbits(x).tobytes() for x in np.split(again, np.cumsum([len(a) for a in arrays])[:-1])]
         return pa.table({"bucket": table.column("bucket"), "chunk": table.column("chunk"), "blob": pa.array(bits, pa.binary())}, schema=packed)
 
     texts = chunks.select("chunk", "blob")
@@ -325,18 +329,25 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
             chunk = Chunk(blob.as_buffer())
             found = chunk.anchors(length)
             _, owners, met = _contexts(chunk, found, _repeated(found, flags, buckets), buckets, length)
-            starts: list[list[int]] = [[] for _ in chunk.texts]
+            # Covered from and up to, per document.
+            covers: list[tuple[list[int], list[int]]] = [([], []) for _ in chunk.texts]
             width = length - GRAM + 1
             for d, p, b, number in met:
                 mask = 0xFFFFFFFF if chunk.ids[d] > owners[b][number] else int(masks[b][number])
                 if mask:
                     first, last = max(0, p - width + 1), min(p, len(chunk.texts[d]) - length)
-                    starts[d] += range(first, last + 1) if mask == 0xFFFFFFFF else [i for i in range(first, last + 1) if mask >> (p - i) & 1]
-            for i, text_, own in zip(chunk.ids.tolist(), chunk.texts, starts):
+                    lows, highs = covers[d]
+                    if mask == 0xFFFFFFFF:
+                        lows.append(first)
+                        highs.append(last + length)
+                    else:
+                        own = [i for i in range(first, last + 1) if mask >> (p - i) & 1]
+                        lows += own
+                        highs += [i + length for i in own]
+            for i, text_, (lows, highs) in zip(chunk.ids.tolist(), chunk.texts, covers):
                 kept, removed, spans = text_, 0, 0
-                if own:
-                    at = np.unique(np.array(own))
-                    edge = np.bincount(at, minlength=len(text_) + 1) - np.bincount(at + length, minlength=len(text_) + 1)
+                if lows:
+                    edge = np.bincount(lows, minlength=len(text_) + 1) - np.bincount(highs, minlength=len(text_) + 1)
                     gone = np.cumsum(edge[:-1]) > 0
                     removed = int(gone.sum())
                     spans = int((gone[1:] & ~gone[:-1]).sum() + gone[0])
