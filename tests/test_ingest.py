@@ -146,7 +146,8 @@ def test_transcript_work_list(spark):
     )
     done = spark.createDataFrame([("v000", None)], "video_id string, transcript string")
     got = [r[0] for r in ingest.missing_transcripts(snippets, done, 500).collect()]
-    assert len(got) == 40 and got[0] == "v002"
+    assert len(got) == 49 and got[0] == "v002"
+    assert ingest.missing_transcripts(snippets, done).count() == 40
     assert ingest.missing_transcripts(snippets, done, 0).count() == 0
 
 
@@ -231,3 +232,11 @@ def test_missing_counts_nan_and_infinity(spark, rows):
     assert rows(integrity.profile(df), "column_name", "dtype", "non_null", "n_rows", "n_columns") == [
         ("s", "string", 3, 4, 2), ("x", "double", 3, 4, 2),
     ]
+
+
+def test_json_validity(spark):
+    good = ['{"a":1}', ' {"a":1,"a":2} ', "[]", "3", '{"a":{"b":[1,"]"]}}']
+    bad = ["", "{", '{"a":1} x', '{"a":1},{"b":2}', '{"a":1}],[{"b":2}', '{"a":1},"end":1,"b":{}', '{"a":1}},{"b":2', "{a", None]
+    df = spark.createDataFrame([(v,) for v in good + bad], "value string")
+    got = [r[0] for r in df.select(files.is_json(F.col("value"))).collect()]
+    assert got == [True] * len(good) + [False] * len(bad)

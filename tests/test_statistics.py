@@ -44,13 +44,29 @@ def test_lilliefors_without_scale(spark):
     got = {r["g"]: r for r in normality.lilliefors(grouped(spark, {"flat": [2, 2, 2], "one": [1], "ok": [1, 2, 4, 9]}), "v", ["g"]).collect()}
     assert got["flat"]["stat"] is got["flat"]["p_value"] is got["one"]["stat"] is None
     assert 0 < got["ok"]["p_value"] <= 1
-    with pytest.raises(ValueError):
-        normality.test_by_size(grouped(spark, {"a": [1]}), "v", ["g"], "shapiro", "lilliefors", 6000)
+    small = normality.test_by_size(grouped(spark, {"a": [1]}), "v", ["g"], "shapiro", "lilliefors", 6000).first()
+    assert (small["n"], small["test_name"], small["stat"], small["is_normal"]) == (1, "shapiro", None, None)
+
+
+def test_no_group_is_lost(spark):
+    rng = random.Random(8)
+    groups = {"many": [rng.gauss(0, 1) for _ in range(6000)], "tied": [1] * 11_000 + [2] * 11_000, "one": [1], "two": [1, 2]}
+    got = {r["g"]: r for r in normality.shapiro(grouped(spark, groups), "v", ["g"]).collect()}
+    assert {g: r["n"] for g, r in got.items()} == {"many": 6000, "tied": 22_000, "one": 1, "two": 2}
+    assert got["many"]["stat"] > 0.99 and 0.5 < got["tied"]["stat"] < 0.7 and got["one"]["stat"] is got["two"]["p_value"] is None
+    k2 = {r["g"]: r for r in normality.dagostino(grouped(spark, {"flat": [3] * 9, **groups}), "v", ["g"]).collect()}
+    assert set(k2) == {"flat", *groups} and k2["two"]["stat"] is k2["one"]["p_value"] is None and k2["many"]["stat"] is not None
+
+
+def test_density_keeps_groups_without_spread(spark):
+    got = summaries.density(grouped(spark, {"flat": [5, 5, 5], "one": [7], "ok": [1, 2, 4]}), "v", ["g"], grid=10).collect()
+    assert sorted((r["g"], r["point"], r["x"], r["density"]) for r in got if r["g"] != "ok") == [("flat", 0, 5.0, None), ("one", 0, 7.0, None)]
+    assert sorted(r["point"] for r in got if r["g"] == "ok") == list(range(10)) and all(r["density"] for r in got if r["g"] == "ok")
 
 
 def test_shapiro_edges(spark):
     got = {r["g"]: r for r in normality.shapiro(grouped(spark, {"three": [1, 2, 4], "flat": [5, 5, 5, 5], "two": [1, 2]}), "v", ["g"]).collect()}
-    assert set(got) == {"three", "flat"}
+    assert set(got) == {"three", "flat", "two"} and got["two"]["stat"] is got["two"]["p_value"] is None
     assert got["three"]["stat"] == pytest.approx(0.9642857, abs=1e-6)
     assert got["flat"]["stat"] == 1.0 and got["flat"]["p_value"] == 1.0
 

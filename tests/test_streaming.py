@@ -28,17 +28,43 @@ def test_stats_stream_resumes_and_drops_repeats(spark, rows):
     land(spark, folder, "1", ("2024-01-02T00:00:00Z", {"items": [video("a", "x", 1), video("b", "x", 2)]}))
     streams.stream_stats(spark, folder, out, marks).awaitTermination()
     streams.stream_stats(spark, folder, out, marks).awaitTermination()
-    assert spark.read.schema(STATS).parquet(out).count() == 2
+    assert streams.read_landed(spark, out, STATS).count() == 2
     land(spark, folder, "2", ("2024-01-02T00:00:00Z", {"items": [video("a", "x", 9)]}), ("2024-01-01T00:00:00Z", {"items": [video("late", "x", 3)]}))
     streams.stream_stats(spark, folder, out, marks).awaitTermination()
-    assert rows(spark.read.schema(STATS).parquet(out), "video_id", "view_count") == [("a", 1), ("b", 2), ("late", 3)]
+    assert rows(streams.read_landed(spark, out, STATS), "video_id", "view_count") == [("a", 1), ("b", 2), ("late", 3)]
+
+
+def test_older_files_and_null_keys_are_kept(spark, rows):
+    folder, out, marks = (fresh_path(spark, n) for n in ("in", "out", "marks"))
+    land(spark, folder, "1", ("2024-02-20T00:00:00Z", {"items": [video("a", "x", 1), video(None, "x", 5)]}))
+    streams.stream_stats(spark, folder, out, marks).awaitTermination()
+    land(spark, folder, "2", ("2024-02-01T00:00:00Z", {"items": [video("a", "x", 2)]}), ("2024-02-20T00:00:00Z", {"items": [video(None, "x", 6)]}))
+    streams.stream_stats(spark, folder, out, marks).awaitTermination()
+    assert sorted(r["view_count"] for r in streams.read_landed(spark, out, STATS).collect()) == [1, 2, 5]
+
+
+def test_a_backlog_in_many_batches_loses_nothing(spark):
+    folder, out, marks = (fresh_path(spark, n) for n in ("in", "out", "marks"))
+    for day in ("28", "01", "15", "28"):
+        land(spark, folder, day, (f"2024-02-{day}T00:00:00Z", {"items": [video("a", "x", int(day))]}))
+    streams.stream_stats(spark, folder, out, marks, files_per_batch=1).awaitTermination()
+    assert sorted(r["view_count"] for r in streams.read_landed(spark, out, STATS).collect()) == [1, 15, 28]
+
+
+def test_a_replayed_batch_replaces_its_own_output(spark):
+    folder, out = fresh_path(spark, "in"), fresh_path(spark, "out")
+    land(spark, folder, "1", ("2024-02-20T00:00:00Z", {"items": [video("a", "x", 1), video("b", "x", 2)]}))
+    for _ in range(2):
+        # A lost checkpoint runs the same batch number again.
+        streams.stream_stats(spark, folder, out, fresh_path(spark, "marks")).awaitTermination()
+    assert streams.read_landed(spark, out, STATS).count() == 2
 
 
 def test_strict_mark_loses_late_rows(spark, rows):
     folder, out, marks = (fresh_path(spark, n) for n in ("in", "out", "marks"))
     land(spark, folder, "1", ("2024-01-03T00:00:00Z", {"items": [video("a", "x", 1)]}), ("2024-01-02T00:00:00Z", {"items": [video("b", "x", 2)]}))
     streams.stream_stats(spark, folder, out, marks, strict_after=F.lit("2024-01-02").cast("timestamp")).awaitTermination()
-    assert rows(spark.read.schema(STATS).parquet(out), "video_id") == [("a",)]
+    assert rows(streams.read_landed(spark, out, STATS), "video_id") == [("a",)]
 
 
 def test_upsert_stream_equals_one_run(spark, registry, rows):

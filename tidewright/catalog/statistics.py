@@ -206,7 +206,8 @@ def a14b(t: Tables) -> DataFrame:
        g AS (SELECT s.*, i, (lo - 2 * h) + ((hi + 2 * h) - (lo - 2 * h)) / 99 * i AS x FROM s, range(100) AS r(i))
        SELECT g.p_type, CAST(i AS INTEGER) AS point, round(any_value(x), 6) AS x,
               round(sum(exp(-0.5 * pow((x - p_size) / h, 2))) / (any_value(n) * any_value(h)) / sqrt(2 * pi()), 8) AS density
-       FROM g JOIN part ON part.p_type = g.p_type GROUP BY g.p_type, i""",
+       FROM g JOIN part ON part.p_type = g.p_type WHERE h > 0 GROUP BY g.p_type, i
+       UNION ALL SELECT p_type, 0, lo, NULL FROM s WHERE h IS NULL OR h = 0""",
 )
 def a15(t: Tables) -> DataFrame:
     out = summaries.density(t.table("part"), "p_size", ["p_type"])
@@ -261,6 +262,24 @@ MOMENTS_SQL = """
     zz AS (SELECT *, ((1 - 2 / (9 * a)) - sign(1 + x * sqrt(2 / (a - 4))) * cbrt((1 - 2 / a) / abs(1 + x * sqrt(2 / (a - 4))))) / sqrt(2 / (9 * a)) AS z2 FROM za)"""
 
 
+CUSTOMERS_SQL = (
+    MOMENTS_SQL.replace("prices", "spending")
+    .replace("WITH m AS", "WITH spending AS (SELECT o_custkey AS grp, o_totalprice AS price FROM orders), m AS")
+    .replace("p.grp = m.grp GROUP BY p.grp", "p.grp = m.grp GROUP BY p.grp HAVING count(*) >= 8")
+)
+
+
+@query(
+    "s02_dagostino_small_groups",
+    CUSTOMERS_SQL + """ SELECT grp AS o_custkey, CAST(n AS BIGINT) AS n, round(z1 * z1 + z2 * z2, 5) AS stat, round(exp(-(z1 * z1 + z2 * z2) / 2), 6) AS p_value FROM zz
+        UNION ALL SELECT o_custkey, count(*), NULL, NULL FROM orders GROUP BY o_custkey HAVING count(*) < 8""",
+)
+def s02b(t: Tables) -> DataFrame:
+    """Customers with fewer than 8 orders keep their row."""
+    out = normality.dagostino(t.table("orders"), "o_totalprice", ["o_custkey"])
+    return out.select("o_custkey", "n", F.round("stat", 5).alias("stat"), F.round("p_value", 6).alias("p_value"))
+
+
 @query("s02_dagostino", MOMENTS_SQL + " SELECT grp, CAST(n AS BIGINT) AS n, round(z1 * z1 + z2 * z2, 5) AS stat FROM zz")
 def s02(t: Tables) -> DataFrame:
     return normality.dagostino(t.prices(), "price", ["grp"]).select("grp", "n", F.round("stat", 5).alias("stat"))
@@ -280,7 +299,7 @@ def s03(t: Tables) -> DataFrame:
 SHAPIRO_SQL = f"""
     WITH g AS (SELECT o_custkey, o_totalprice AS x, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice) AS i,
                       count(*) OVER (PARTITION BY o_custkey)::DOUBLE AS n FROM orders),
-    q AS (SELECT *, (i - 0.375) / (n + 0.25) AS p FROM g WHERE n > 5),
+    q AS (SELECT *, (i - 0.375) / (n + 0.25) AS p FROM g WHERE n > 2),
     m AS (SELECT *, {normal_quantile('p')} AS m FROM q),
     s AS (SELECT o_custkey AS k, sum(m * m) AS mm, max(m) FILTER (WHERE i = n) AS m1, max(m) FILTER (WHERE i = n - 1) AS m2, avg(x) AS mean, any_value(n) AS nn
           FROM m GROUP BY o_custkey),
@@ -288,22 +307,25 @@ SHAPIRO_SQL = f"""
                  m2 / sqrt(mm) + 0.042981 * u - 0.293762 * pow(u, 2) - 1.752461 * pow(u, 3) + 5.682633 * pow(u, 4) - 3.582633 * pow(u, 5) AS a2
           FROM (SELECT *, 1 / sqrt(nn) AS u FROM s) AS su),
     w AS (SELECT m.o_custkey, m.n, x, mean,
-                 CASE WHEN i = n THEN a1 WHEN i = n - 1 THEN a2 WHEN i = 1 THEN -a1 WHEN i = 2 THEN -a2
-                      ELSE m / sqrt((mm - 2 * m1 * m1 - 2 * m2 * m2) / (1 - 2 * a1 * a1 - 2 * a2 * a2)) END AS weight
+                 CASE WHEN n = 3 THEN (i - 2) * sqrt(0.5) WHEN i = n THEN a1 WHEN i = 1 THEN -a1
+                      WHEN n > 5 AND i = n - 1 THEN a2 WHEN n > 5 AND i = 2 THEN -a2
+                      WHEN n > 5 THEN m / sqrt((mm - 2 * m1 * m1 - 2 * m2 * m2) / (1 - 2 * a1 * a1 - 2 * a2 * a2))
+                      ELSE m / sqrt((mm - 2 * m1 * m1) / (1 - 2 * a1 * a1)) END AS weight
           FROM m JOIN a ON m.o_custkey = a.k)
-    SELECT o_custkey, CAST(any_value(n) AS BIGINT) AS n, round(pow(sum(weight * x), 2) / sum(pow(x - mean, 2)), 6) AS stat FROM w GROUP BY o_custkey"""
+    SELECT DISTINCT o_custkey, CAST(n AS BIGINT) AS n, CAST(NULL AS DOUBLE) AS stat FROM g WHERE n < 3
+    UNION ALL SELECT o_custkey, CAST(any_value(n) AS BIGINT) AS n, round(pow(sum(weight * x), 2) / sum(pow(x - mean, 2)), 6) AS stat FROM w GROUP BY o_custkey"""
 
 
 @query("s04_shapiro", SHAPIRO_SQL)
 def s04(t: Tables) -> DataFrame:
     out = normality.shapiro(t.table("orders"), "o_totalprice", ["o_custkey"])
-    return out.where("n > 5").select("o_custkey", "n", F.round("stat", 6).alias("stat"))
+    return out.select("o_custkey", "n", F.round("stat", 6).alias("stat"))
 
 
 @query(
     "s05_test_by_size",
     """SELECT o_custkey, count(*) AS n, CASE WHEN count(*) > 10 THEN 'lilliefors' ELSE 'shapiro' END AS test_name
-       FROM orders GROUP BY o_custkey HAVING count(*) >= 3""",
+       FROM orders GROUP BY o_custkey""",
 )
 def s05(t: Tables) -> DataFrame:
     return normality.test_by_size(t.table("orders"), "o_totalprice", ["o_custkey"], "shapiro", "lilliefors", 10).select(

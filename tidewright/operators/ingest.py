@@ -230,13 +230,13 @@ def new_registry_rows(
 def missing_transcripts(
     snippets: DataFrame, transcripts: DataFrame, limit: int = TRANSCRIPT_LIMIT
 ) -> DataFrame:
-    """Ids of transcribed formats without a transcript row, at most 40, lowest ids first."""
+    """Ids of transcribed formats without a transcript row, at most ``limit``, lowest ids first."""
     return (
         snippets.where(F.col("video_format").isin(*TRANSCRIBED_FORMATS))
         .select("video_id")
         .join(transcripts.select("video_id"), "video_id", "left_anti")
         .orderBy("video_id")
-        .limit(min(limit, TRANSCRIPT_LIMIT))
+        .limit(limit)
     )
 
 

@@ -17,8 +17,8 @@ from tidewright.operators.hotkeys import attach_measured
 from tidewright.operators.ranks import clean_numbers, value_histogram
 from tidewright.schemas import ALPHA
 
-# Royston's approximation is stated for samples of 3 to 5000 values.
-SHAPIRO_MAX = 5000
+# Tied values are laid out in runs of at most this many positions.
+RUN = 10_000
 
 # Published polynomial coefficients, highest power first.
 STEPHENS = [
@@ -63,9 +63,12 @@ def jarque_bera(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def dagostino(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
-    """Omnibus K-squared from the skewness and kurtosis z-scores; needs at least 8 values."""
-    n = F.col("n").cast("double")
-    m = moments(df, value, by).where("n >= 8")
+    """Omnibus K-squared from the skewness and kurtosis z-scores.
+
+    Groups below 8 values and constant ones have a null statistic and p-value.
+    """
+    n = F.when(F.col("n") >= 8, F.col("n").cast("double"))
+    m = moments(df, value, by)
 
     scaled = F.col("skew") * F.sqrt((n + 1) * (n + 3) / (6 * (n - 2)))
     # An exactly symmetric sample is scored as if scaled to 1, as the established library does.
@@ -132,12 +135,24 @@ def _lilliefors_p(n: Column, stat: Column) -> Column:
     return F.when(stat.isNotNull(), F.when(small_p <= 0.1, small_p).otherwise(large_p))
 
 
-def shapiro(df: DataFrame, value: str, by: Sequence[str], max_n: int = SHAPIRO_MAX) -> DataFrame:
-    """Shapiro-Wilk W for groups of 3 to ``max_n`` values (the range the p-value is defined for)."""
+def shapiro(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
+    """Shapiro-Wilk W per group of any size.
+
+    Groups below 3 values have a null statistic and p-value. The p-value's approximation is published
+    for up to 5000 values and carried on beyond.
+    """
+    hist = value_histogram(df, value, by)
+    few = (
+        hist.where("total < 3")
+        .groupBy(*by)
+        .agg(F.max("total").alias("n"))
+        .withColumns({c: F.lit(None).cast("double") for c in ("stat", "p_value")})
+    )
+    last = F.col("before") + F.col("n")
     ranked = (
-        value_histogram(df, value, by)
-        .where((F.col("total") >= 3) & (F.col("total") <= max_n))
-        .withColumn("i", F.explode(F.sequence(F.col("before") + 1, F.col("before") + F.col("n"))))
+        hist.where("total >= 3")
+        .withColumn("_from", F.explode(F.sequence(F.col("before") + 1, last, F.lit(RUN).cast("bigint"))))
+        .withColumn("i", F.explode(F.sequence(F.col("_from"), F.least(last, F.col("_from") + RUN - 1))))
         .select(*by, F.col(value).alias("x"), F.col("total").cast("double").alias("n"), "i")
         .withColumn("_p", (F.col("i") - 0.375) / (F.col("n") + 0.25))
         .withColumn("m", normal_quantile(F.col("_p")))
@@ -166,7 +181,7 @@ def shapiro(df: DataFrame, value: str, by: Sequence[str], max_n: int = SHAPIRO_M
     sums = sums.withColumn(
         "_scale", F.when(n > 5, F.sqrt(inner_two)).when(n > 3, F.sqrt(inner_one)).otherwise(F.lit(1.0))
     ).drop("n")
-    weighted = ranked.join(sums, list(by))
+    weighted = attach_measured(ranked, sums, list(by))
     from_end = F.least(i, n + 1 - i)
     size = (
         F.when(from_end == 1, a1)
@@ -182,6 +197,7 @@ def shapiro(df: DataFrame, value: str, by: Sequence[str], max_n: int = SHAPIRO_M
         weighted.groupBy(*by)
         .agg(F.max("n").cast("long").alias("n"), F.least(w, F.lit(1.0)).alias("stat"))
         .withColumn("p_value", _shapiro_p(F.col("n").cast("double"), F.col("stat")))
+        .unionByName(few)
     )
 
 
@@ -212,8 +228,6 @@ def test_by_size(
 ) -> DataFrame:
     """One test for groups with more than ``above`` values, another for the rest, and the decision
     at 5 %. ``small`` and ``large`` name one of the three group tests of this module."""
-    if "shapiro" == large or ("shapiro" == small and above > SHAPIRO_MAX):
-        raise ValueError(f"Shapiro-Wilk is defined up to {SHAPIRO_MAX} values")
     tests = {"dagostino": dagostino, "lilliefors": lilliefors, "shapiro": shapiro}
     data = clean_numbers(df, value).select(*by, value)
     sizes = data.groupBy(*by).agg(F.count(F.lit(1)).alias("_size"))

@@ -15,8 +15,6 @@ from tidewright.operators.hotkeys import attach_measured
 from tidewright.operators.ranks import row_numbers
 from tidewright.schemas import SAMPLE_SIZE
 
-# Up to this many rows per group the optimizer prunes a ranked window below the shuffle.
-PRUNED_WINDOW = 1000
 # Hex digits of a draw that name its slice.
 SLICE_DIGITS = 3
 
@@ -47,11 +45,6 @@ def sample_per_class(
     joined = df.join(F.broadcast(plan), label).withColumn(
         "_draw", draw_order(F.col(key), F.col("seed"))
     )
-    most = max(n for _, _, n in draws)
-    if most <= PRUNED_WINDOW:
-        place = Window.partitionBy(label, "seed").orderBy("_draw", key)
-        ranked = joined.withColumn("_at", F.row_number().over(place)).where(F.col("_at") <= most)
-        return ranked.where(F.col("_at") <= F.col("n_wanted")).drop("_at", "_draw", "n_wanted")
     wanted = F.least(F.col("n_wanted"), F.col("total"))
     cuts = _cuts(joined.select(label, "seed", "n_wanted", "_draw", key), key, [label, "seed"], wanted)
     return _up_to_cut(joined, key, cuts, [label, "seed"]).where("_within").drop("_within", "_draw", "n_wanted")

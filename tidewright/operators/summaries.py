@@ -156,7 +156,8 @@ def density(df: DataFrame, value: str, by: Sequence[str], grid: int = 100, cut:
     """Gaussian kernel density per group on an even grid reaching ``cut`` bandwidths past the data.
 
     Bandwidth is Scott's rule. Every row is expanded to the fixed grid inside the scan stage and
-    summed map-side, so the shuffle carries at most grid x groups rows per task.
+    summed map-side, so the shuffle carries at most grid x groups rows per task. A group without
+    spread has one row: point 0 at its value, with a null density.
     """
     by = list(by)
     counts = clean_numbers(df, value).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
@@ -170,14 +171,15 @@ def density(df: DataFrame, value: str, by: Sequence[str], grid: int = 100, cut:
             F.max(value).alias("_hi"),
         )
         .withColumn("bandwidth", F.col("_sd") * F.pow(F.col("_n"), F.lit(-0.2)))
-        .where(F.col("bandwidth") > 0)
-        .withColumn("_lo", F.col("_lo") - cut * F.col("bandwidth"))
-        .withColumn("_hi", F.col("_hi") + cut * F.col("bandwidth"))
+        .withColumn("bandwidth", F.when(F.col("bandwidth") > 0, F.col("bandwidth")))
+        .withColumn("_lo", F.col("_lo") - F.coalesce(cut * F.col("bandwidth"), F.lit(0.0)))
+        .withColumn("_hi", F.col("_hi") + F.coalesce(cut * F.col("bandwidth"), F.lit(0.0)))
+        .withColumn("_points", F.when(F.col("bandwidth").isNull(), 1).otherwise(grid))
         .withColumn("_step", (F.col("_hi") - F.col("_lo")) / (grid - 1))
     )
     spread = attach_measured(counts, shape, by).select(
         *by, value, "n", "_n", "bandwidth", "_lo", "_step",
-        F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point"),
+        F.explode(F.sequence(F.lit(0), F.col("_points") - 1)).alias("point"),
     )
     x = F.col("_lo") + F.col("_step") * F.col("point")
     u = (x - F.col(value)) / F.col("bandwidth")

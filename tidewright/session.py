@@ -55,7 +55,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master.partition("[")[0] != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     fallback = tempfile.mkdtemp(prefix="tidewright-")
     spark.conf.set("spark.checkpoint.dir", fallback)

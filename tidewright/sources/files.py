@@ -50,6 +50,17 @@ def write_jsonl(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**JSON_OPTIONS).json(path)
 
 
+def is_json(line: Column) -> Column:
+    """The text is one JSON value; objects may repeat a key.
+
+    Read as the only element of an array and as a member followed by another: only a whole value, with
+    nothing before or after it, fits both places.
+    """
+    alone = F.json_array_length(F.concat(F.lit("["), line, F.lit("]"))) == 1
+    followed = F.get_json_object(F.concat(F.lit('{"line":'), line, F.lit(',"end":1}')), "$.end") == "1"
+    return F.coalesce(alone & followed, F.lit(False))
+
+
 def merged_jsonl(
     old_lines: DataFrame,
     new_records: DataFrame,
@@ -62,8 +73,7 @@ def merged_jsonl(
     kept = old_lines.select("value")
     if should_filter:
         stamp = F.get_json_object("value", "$.scraped_at").try_cast("timestamp")
-        well_formed = F.try_parse_json(F.col("value")).isNotNull()
-        kept = kept.where(well_formed & keep_record(stamp, max_days=max_days, as_of=as_of))
+        kept = kept.where(is_json(F.col("value")) & keep_record(stamp, max_days=max_days, as_of=as_of))
     fresh = new_records.select(
         F.to_json(F.struct(*new_records.columns), JSON_OPTIONS).alias("value")
     )

@@ -19,8 +19,10 @@ from tidewright.operators.ingest import (
     flatten_stats,
     upsert_snippets,
 )
-from tidewright.schemas import RAW_COMMENTS, RAW_VIDEOS, SNIPPETS, TABLE_RETENTION_DAYS
-from tidewright.sources.tables import VersionedTable
+from tidewright.schemas import RAW_COMMENTS, RAW_VIDEOS, SNIPPETS
+from tidewright.sources.tables import VersionedTable, read_table
+
+BATCH = "batch_id"
 
 
 def landing_stream(
@@ -31,50 +33,84 @@ def landing_stream(
     )
 
 
-def _append(df: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+def _append(df: DataFrame, out: str, checkpoint: str, key: Sequence[str] | None) -> StreamingQuery:
+    """Every batch fills a folder of its own below ``out``, which a replay overwrites. With a ``key``,
+    a batch leaves out the keys that earlier batches have landed, however late it comes.
+
+    The batch numbers belong to the checkpoint: one target takes one stream.
+    """
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        target = f"{out}/{BATCH}={batch_id}"
+        if key is None:
+            batch.write.mode("overwrite").parquet(target)
+            return
+        batch = batch.persist()
+        try:
+            landed = read_table(batch.sparkSession, out, df.schema.add(BATCH, "long"))
+            earlier = landed.where(F.col(BATCH) < batch_id).drop(BATCH)
+            unseen_snapshots(batch, earlier, key).write.mode("overwrite").parquet(target)
+        finally:
+            batch.unpersist()
+
     return (
-        df.writeStream.format("parquet")
-        .option("path", out)
+        df.writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )
 
 
+def unseen_snapshots(
+    batch: DataFrame, earlier: DataFrame, key: Sequence[str], ts: str = "scraped_at"
+) -> DataFrame:
+    """One row for every key of the batch that ``earlier`` does not hold; nulls compare as values.
+
+    Of repeats inside the batch the lowest row stays, so a replay decides alike. Of the earlier rows
+    only those inside the time range of the batch are read.
+    """
+    rest = [c for c in batch.columns if c not in key]
+    once = batch.groupBy(*key).agg(F.min(F.struct(*rest)).alias("_row"))
+    once = once.select(*[c if c in key else F.col(f"_row.{c}").alias(c) for c in batch.columns])
+    first, last = batch.agg(F.min(ts), F.max(ts)).first()
+    known = F.col(ts).isNull()
+    if first is not None:
+        known = known | F.col(ts).between(F.lit(first), F.lit(last))
+    old = earlier.where(known).select(*[F.col(c).alias(f"_old_{c}") for c in key])
+    same = [F.col(c).eqNullSafe(F.col(f"_old_{c}")) for c in key]
+    return once.join(old, same, "left_anti")
+
+
+def read_landed(spark: SparkSession, out: str, schema: StructType) -> DataFrame:
+    """The rows of all batches; empty before the first one."""
+    return read_table(spark, out, schema).select(*schema.fieldNames())
+
+
 def stream_stats(
     spark: SparkSession,
     folder: str,
     out: str,
     checkpoint: str,
     strict_after: Column | None = None,
-    dedup_delay: str | None = f"{TABLE_RETENTION_DAYS} days",
+    distinct: bool = True,
     files_per_batch: int = 1000,
 ) -> StreamingQuery:
-    """Append counter rows from new payload files.
+    """Append counter rows from new payload files; read them with `read_landed`.
 
     Late files are included; ``strict_after`` restores the rule that only rows past a mark count.
-    ``dedup_delay`` suppresses repeats of (video_id, scraped_at) within that watermark.
+    ``distinct`` suppresses repeats of (video_id, scraped_at), those of earlier batches included.
     """
     rows = flatten_stats(landing_stream(spark, folder, RAW_VIDEOS, files_per_batch))
     if strict_after is not None:
         rows = rows.where(F.col("scraped_at") > strict_after)
-    if dedup_delay is not None:
-        rows = distinct_snapshots(rows, ["video_id", "scraped_at"], dedup_delay)
-    return _append(rows, out, checkpoint)
-
-
-def distinct_snapshots(df: DataFrame, key: Sequence[str], delay: str, ts: str = "scraped_at") -> DataFrame:
-    """First row per key; state older than the watermark is discarded."""
-    return df.withWatermark(ts, delay).dropDuplicates(list(key))
+    return _append(rows, out, checkpoint, ["video_id", "scraped_at"] if distinct else None)
 
 
 def stream_comments(
     spark: SparkSession, folder: str, out: str, checkpoint: str, files_per_batch: int = 1000
 ) -> StreamingQuery:
     rows = flatten_comments(landing_stream(spark, folder, RAW_COMMENTS, files_per_batch))
-    rows = distinct_snapshots(rows, ["comment_id", "scraped_at"], f"{TABLE_RETENTION_DAYS} days")
-    return _append(rows, out, checkpoint)
+    return _append(rows, out, checkpoint, ["comment_id", "scraped_at"])
 
 
 def stream_snippets(
