@@ -193,14 +193,16 @@ def fits(spark):
         "fast": curve(0.3, 5000, 50, 5), "slow": curve(0.01, 800, 10, 2), "twice": curve(0.05, 900, 12, 8) + curve(0.05, 900, 12, 8, seed=9),
         "flat": [(t, 7.0) for t in range(30)], "rising": [(t, float(t)) for t in range(30)], "three": [(0, 9.0), (1, 5.0), (2, 3.0)],
         "no floor": curve(0.02, 1000, 0, 30, n=40),
+        "steep": [(t / 200, y) for t, y in curve(0.2, 3000, 40, 1)], "lasting": [(t * 5000, y) for t, y in curve(0.01, 800, 10, 2, seed=5)],
+        "one age": [(3, 5.0)] * 6,
         "late": [(t, y) for t, y in curve(0.04, 1000, 20, 3, seed=4) if t >= 9 and t % 6 == 0],
     }
-    df = spark.createDataFrame([(g, int(t), float(y)) for g, pts in data.items() for t, y in pts] + [("fast", None, 1.0)], "g string, t int, y double")
+    df = spark.createDataFrame([(g, float(t), float(y)) for g, pts in data.items() for t, y in pts] + [("fast", None, 1.0)], "g string, t double, y double")
     table = decay.half_life_bounds(decay.fit_decay(df, "g", "t", "y"))
     return df, data, {r["g"]: r for r in table.collect()}
 
 
-@pytest.mark.parametrize("name, start", [("fast", (5000, 0.3, 50)), ("slow", (800, 0.01, 10)), ("twice", (900, 0.05, 12)), ("late", (1000, 0.04, 20))])
+@pytest.mark.parametrize("name, start", [("fast", (5000, 0.3, 50)), ("slow", (800, 0.01, 10)), ("twice", (900, 0.05, 12)), ("steep", (3000, 40, 40)), ("lasting", (800, 2e-6, 10)), ("late", (1000, 0.04, 20))])
 def test_fit_matches_least_squares(fits, name, start):
     _, data, got = fits
     rate, v0, floor, error = gauss_newton(data[name], *start)
@@ -217,7 +219,8 @@ def test_fit_bounds_and_degenerate_groups(fits):
     _, _, got = fits
     assert got["rising"]["start_value"] == 0 and got["rising"]["floor_value"] == pytest.approx(14.5)
     assert got["no floor"]["floor_value"] >= 0
-    for name in ("flat", "rising", "three"):
+    assert got["one age"]["start_value"] == 0 and got["one age"]["floor_value"] == 5
+    for name in ("flat", "rising", "three", "one age"):
         assert got[name]["upper"] == float("inf") and got[name]["margin"] is None
 
 

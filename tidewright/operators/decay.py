@@ -2,14 +2,13 @@
 
 The fit needs only (group, t) cells, so the data is reduced to them once. For a fixed rate the best
 non-negative V0 and floor are closed-form (variable projection); the rate is found on a geometric
-grid that is refined around each group's best point. This yields the global optimum of the grid
-range, where an iterative solver would yield the optimum near its starting point.
+grid that is refined around each group's best point. The grid spans every rate that the group's ages
+can tell apart in double precision, so it yields the global optimum, where an iterative solver would
+yield the optimum near its starting point.
 """
 
 from __future__ import annotations
 
-from math import log
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,8 +16,10 @@ from tidewright.functions.rates import half_even, half_life
 from tidewright.session import cut_lineage
 from tidewright.schemas import LOWEST_TIER, RELIABILITY_TIERS
 
-LOWEST_RATE, HIGHEST_RATE, GRID = 1e-5, 10.0, 200
-ROUNDS = 4
+GRID, ROUNDS = 200, 5
+# Rates the ages of a group can tell apart. A curve that loses a smaller share over the whole span is a
+# line in double precision; one that loses more e-folds by the second age is at its floor there.
+LEAST_LOSS, MOST_FOLDS = 1e-7, 40.0
 Z95 = 1.96
 
 
@@ -37,13 +38,14 @@ def decay_cells(df: DataFrame, group: str, t: str, y: str) -> DataFrame:
     )
 
 
-def _best_on_grid(cells: DataFrame, rates: DataFrame, log_step: float) -> DataFrame:
-    """Best rate per group among centre * exp(j * log_step), j = -GRID/2 .. GRID/2."""
+def _best_on_grid(cells: DataFrame, rates: DataFrame) -> DataFrame:
+    """Best rate per group among centre * exp(j * log_step), j = -GRID/2 .. GRID/2; the next grid has
+    the two steps around it."""
     steps = F.explode(F.sequence(F.lit(-(GRID // 2)), F.lit(GRID // 2)))
     grid = (
         cells.join(rates, "g")
         .withColumn("j", steps)
-        .withColumn("rate", F.col("centre") * F.exp(F.lit(log_step) * F.col("j")))
+        .withColumn("rate", F.col("centre") * F.exp(F.col("log_step") * F.col("j")))
     )
     # x = 1 - exp(-rate t): the model is linear in x, top = V0 + floor and slope = -V0. Time counts
     # from the group's first age, so x runs from 0 to at most 1 whatever the rate; with the centred y
@@ -60,6 +62,7 @@ def _best_on_grid(cells: DataFrame, rates: DataFrame, log_step: float) -> DataFr
             F.sum(w * F.col("x") * F.col("yc")).alias("sxy"),
             F.sum(w * F.col("yc") * F.col("yc")).alias("syy"),
             F.first("y_mean").alias("y_mean"),
+            F.first("log_step").alias("log_step"),
         )
     )
     n, sx, sxx, sxy, syy = (F.col(c) for c in ("n", "sx", "sxx", "sxy", "syy"))
@@ -73,24 +76,31 @@ def _best_on_grid(cells: DataFrame, rates: DataFrame, log_step: float) -> DataFr
     start0 = F.greatest(F.coalesce(F.try_divide(e_y, e_e), F.lit(0.0)), F.lit(0.0))
     flat = F.greatest(ybar, F.lit(0.0))
     solved = sums.select(
-        "g", "rate", "n", "sx", "sxx", "sxy", "syy", "y_mean",
+        "g", "j", "rate", "log_step", "n", "sx", "sxx", "sxy", "syy", "y_mean",
         F.when(start <= 0, F.lit(0.0)).when(floor < 0, start0).otherwise(start).alias("v0"),
         F.when(start <= 0, flat).when(floor < 0, F.lit(0.0)).otherwise(floor).alias("floor"),
     )
     # Residual about y_mean is yc - (d - V0 x) with d = V0 + floor - y_mean.
     v0, d = F.col("v0"), F.col("v0") + F.col("floor") - ybar
     sse = syy + n * d * d + v0 * v0 * sxx + 2 * v0 * sxy - 2 * d * v0 * sx
-    fit = F.struct("rate", "v0", "floor")
+    fit = F.struct("rate", "v0", "floor", "log_step")
     return (
         solved.withColumn("sse", sse)
         .groupBy("g")
-        .agg(F.min_by(fit, "sse").alias("fit"))
-        .select("g", F.col("fit.rate").alias("centre"), F.col("fit.v0"), F.col("fit.floor"))
+        # Rates that fit alike (a flat group) leave the centre where it is.
+        .agg(F.min_by(fit, F.struct("sse", F.abs("j"))).alias("fit"))
+        .select(
+            "g", F.col("fit.rate").alias("centre"), (2 * F.col("fit.log_step") / GRID).alias("log_step"),
+            F.col("fit.v0"), F.col("fit.floor"),
+        )
     )
 
 
 def fit_decay(df: DataFrame, group: str, t: str, y: str) -> DataFrame:
-    """Fitted parameters, standard error of the rate and residual size per group."""
+    """Fitted parameters, standard error of the rate and residual size per group.
+
+    A group with one age has no rate to find: it keeps the rate 1 and an infinite error.
+    """
     cells = decay_cells(df, group, t, y)
     # Bounded by groups x distinct ages; read by every round below.
     cells = cut_lineage(cells)
@@ -100,12 +110,16 @@ def fit_decay(df: DataFrame, group: str, t: str, y: str) -> DataFrame:
         F.min("t").alias("t_min"),
     )
     cells = cells.join(means.select("g", "y_mean", "t_min"), "g").withColumn("t", F.col("t") - F.col("t_min"))
-    span = HIGHEST_RATE / LOWEST_RATE
-    log_step = log(span) / GRID
-    best = means.select("g", F.lit((LOWEST_RATE * HIGHEST_RATE) ** 0.5).alias("centre"))
+    later = F.when(F.col("t") > 0, F.col("t"))
+    ends = cells.groupBy("g").agg((LEAST_LOSS / F.max(later)).alias("low"), (MOST_FOLDS / F.min(later)).alias("high"))
+    one_age = F.col("low").isNull()
+    best = ends.select(
+        "g",
+        F.when(one_age, 1.0).otherwise(F.exp((F.ln("low") + F.ln("high")) / 2)).alias("centre"),
+        F.when(one_age, 0.0).otherwise((F.ln("high") - F.ln("low")) / GRID).alias("log_step"),
+    )
     for _ in range(ROUNDS):
-        best = _best_on_grid(cells, best.select("g", "centre"), log_step)
-        log_step = 2 * log_step / GRID
+        best = _best_on_grid(cells, best.select("g", "centre", "log_step"))
     rate, v0, floor = F.col("centre"), F.col("v0"), F.col("floor")
     e = F.exp(-rate * F.col("t"))
     te = F.col("t") * e
@@ -141,7 +155,7 @@ def fit_decay(df: DataFrame, group: str, t: str, y: str) -> DataFrame:
         )
         .select(
             F.col("g").alias(group), n.cast("long").alias("n"), "decay_const",
-            (v * F.exp(F.col("decay_const") * F.col("t_min"))).alias("start_value"),
+            F.when(v == 0, 0.0).otherwise(v * F.exp(F.col("decay_const") * F.col("t_min"))).alias("start_value"),
             "floor_value", "sse", "rate_error",
         )
     )
@@ -175,7 +189,8 @@ def half_life_table(df: DataFrame, group: str, t: str, y: str) -> DataFrame:
     return fits.select(
         group,
         "decay_const",
-        half_even(F.col("half_life")).cast("int").alias("half_life_estimate"),
+        # A curve that hardly falls can have a half-life beyond an integer: null.
+        half_even(F.col("half_life")).try_cast("int").alias("half_life_estimate"),
         half_even(F.col("lower"), 2).alias("estimate_lb"),
         half_even(F.col("upper"), 2).alias("estimate_ub"),
         half_even(F.col("margin"), 2).alias("rel_moe"),
