@@ -76,12 +76,15 @@ def docs(spark):
     return spark.createDataFrame([(i, lang, text) for i, (lang, text) in enumerate(texts * 3)], "k int, lang string, text string")
 
 
-@pytest.mark.parametrize("limit", [1 << 20, 1])
-def test_language_detection_paths_agree(spark, rows, monkeypatch, limit):
-    monkeypatch.setattr(scoring, "BROADCAST_BYTES", limit)
+@pytest.mark.parametrize("limit", ["10m", "-1"])
+def test_language_detection_paths_agree(spark, rows, limit):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     profile = scoring.train_language_profile(docs(spark), "text", "lang")
     asked = spark.createDataFrame([(1, "the bird\nsat"), (2, "die katze ist"), (3, None), (4, "zzz")], "k int, text string")
-    got = {r["k"]: r["language"] for r in scoring.detect_language(asked, "k", "text", profile).collect()}
+    try:
+        got = {r["k"]: r["language"] for r in scoring.detect_language(asked, "k", "text", profile).collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # Unknown words weigh against the language with more training words; ties go to the first.
     assert got[1] == "en" and got[2] == "de" and set(got) == {1, 2, 3, 4}
 
@@ -108,6 +111,18 @@ def test_grid_search_marks_one_best(spark):
     assert [r["setting"] for r in out if r["best"]] == [min(r["setting"] for r in out if r["macro_f1"] == best)]
 
 
+def test_word_model_settings(spark):
+    data = [(i, "great love" if i % 3 == 2 else "okay fine" if i % 3 == 1 else "bad hate", i % 3) for i in range(30)] + [(98, "rare", None), (99, None, 1)]
+    df = spark.createDataFrame(data, "k int, text string, label int")
+    trained = scoring.count_words(df, "text", "label")
+    assert trained.counts.where("token = 'rare'").isEmpty()
+    got = {r["k"]: r["c"] for r in scoring.attach_class(df, "k", "text", scoring.word_profile(trained, 0.5, 3), "c").collect()}
+    # Without known words the most frequent class wins.
+    assert (got[0], got[1], got[2], got[99]) == (0, 1, 2, 1)
+    out = scoring.word_grid_search(df, df, "k", "text", "label", (0.1, 1.0), (1, 3)).collect()
+    assert [r["setting"] for r in out if r["best"]] == [0] and {r["macro_f1"] for r in out} == {1.0}
+
+
 def test_batched_scorer_gets_no_nulls(spark, rows):
     def load():
         return lambda texts: [f"{len(texts) <= 2}:{len(t)}" for t in texts]

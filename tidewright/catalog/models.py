@@ -133,11 +133,41 @@ def t11(t: Tables) -> DataFrame:
     return rounded(scoring.keyword_weights(transcripts, "conv_id", "transcript"), 8, "weight")
 
 
-@query("l06_classify_comments")
+TOKENS = r"unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS token"
+CLASS_NAME = "CASE label WHEN 0 THEN 'negative' WHEN 1 THEN 'neutral' WHEN 2 THEN 'positive' END"
+
+
+def bayes_sql(p: str, train: str, asked: str) -> str:
+    """CTEs ending in ``{p}guess`` (k, cls): naive Bayes of ``asked`` (k, text) trained on ``train`` (text, cls)."""
+    return f"""{p}train AS ({train}), {p}asked AS ({asked}),
+      {p}c AS (SELECT cls, token, count(*) AS c FROM (SELECT cls, {TOKENS} FROM {p}train) AS x GROUP BY cls, token),
+      {p}v AS (SELECT count(DISTINCT token) AS v FROM {p}c),
+      {p}l AS (SELECT cls, ln(count(*) / (SELECT count(*) FROM {p}train)) AS prior FROM {p}train GROUP BY cls),
+      {p}u AS (SELECT cls, ln(sum(c) + any_value(v)) AS unit FROM {p}c, {p}v GROUP BY cls),
+      {p}w AS (SELECT k, {TOKENS} FROM {p}asked),
+      {p}n AS (SELECT a.k, count(token) AS n FROM {p}asked AS a LEFT JOIN {p}w AS w ON a.k = w.k GROUP BY a.k),
+      {p}g AS (SELECT k, cls, sum(ln(c + 1)) AS gain FROM {p}w AS w JOIN {p}c AS c ON w.token = c.token GROUP BY k, cls),
+      {p}s AS (SELECT n.k, l.cls, prior + coalesce(gain, 0) - n * unit AS score
+               FROM {p}n AS n CROSS JOIN {p}l AS l JOIN {p}u AS u ON l.cls = u.cls LEFT JOIN {p}g AS g ON g.k = n.k AND g.cls = l.cls),
+      {p}guess AS (SELECT k, cls FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, cls) AS r FROM {p}s) AS x WHERE r = 1)"""
+
+
+LABELLED_TEXTS = f"SELECT text, {CLASS_NAME} AS cls FROM labelled WHERE label IS NOT NULL"
+
+
+def sentiment_profile(t: Tables) -> scoring.WordProfile:
+    """The built-in classifier, trained on the labelled documents."""
+    named = t.labelled().select("text", label_name(F.col("label")).alias("name"))
+    return scoring.word_profile(scoring.count_words(named, "text", "name"))
+
+
+@query(
+    "l06_classify_comments",
+    "WITH " + bayes_sql("", LABELLED_TEXTS, "SELECT doc_id AS k, text FROM documents") + " SELECT k AS comment_id, cls AS sentiment_label FROM guess",
+)
 def l06(t: Tables) -> DataFrame:
-    """The built-in classifier, trained on the labelled documents and applied to all of them."""
-    model = scoring.train_sentiment(t.labelled().where("label IS NOT NULL"), "text", "label")
-    return scoring.classify(t.labelled().select("comment_id", "text"), "text", model).drop("text")
+    docs = t.labelled().select("comment_id", "text")
+    return scoring.attach_class(docs, "comment_id", "text", sentiment_profile(t), "sentiment_label").drop("text")
 
 
 @query(
@@ -157,11 +187,39 @@ def l07(t: Tables) -> DataFrame:
     return scoring.detect_language(docs.select("doc_id", "text"), "doc_id", "text", profile).drop("text")
 
 
-@query("l08_grid_search")
+@query(
+    "l08_grid_search",
+    f"""WITH parts AS (
+          SELECT doc_id, text, label, r <= ceil(n * 80 / 100.0) AS train FROM (
+            SELECT doc_id, text, label, row_number() OVER (PARTITION BY label ORDER BY md5(doc_id || ':0'), doc_id) AS r,
+                   count(*) OVER (PARTITION BY label) AS n FROM labelled WHERE label IS NOT NULL) AS x),
+        grid(setting, smoothing, least) AS (VALUES (0, 0.1::DOUBLE, 1), (1, 0.1, 3), (2, 1.0, 1), (3, 1.0, 3), (4, 10.0, 1), (5, 10.0, 3)),
+        c AS (SELECT label, token, count(*) AS c, sum(count(*)) OVER (PARTITION BY token) AS total
+              FROM (SELECT label, {TOKENS} FROM parts WHERE train) AS x GROUP BY label, token),
+        cg AS (SELECT setting, smoothing, label, token, c FROM c JOIN grid ON total >= least),
+        v AS (SELECT setting, count(DISTINCT token) AS v FROM cg GROUP BY setting),
+        l AS (SELECT label, ln(count(*) / (SELECT count(*) FROM parts WHERE train)) AS prior FROM parts WHERE train GROUP BY label),
+        u AS (SELECT cg.setting, label, any_value(smoothing) AS a, ln(sum(c) + any_value(smoothing) * any_value(v)) AS unit
+              FROM cg JOIN v ON cg.setting = v.setting GROUP BY cg.setting, label),
+        w AS (SELECT doc_id, {TOKENS} FROM parts WHERE NOT train),
+        n AS (SELECT p.doc_id, any_value(p.label) AS actual, count(token) AS n FROM parts AS p LEFT JOIN w ON p.doc_id = w.doc_id WHERE NOT train GROUP BY p.doc_id),
+        g AS (SELECT setting, doc_id, label, sum(ln(c + smoothing)) AS gain, count(*) AS met FROM w JOIN cg ON w.token = cg.token GROUP BY setting, doc_id, label),
+        s AS (SELECT u.setting, n.doc_id, actual, u.label, prior + coalesce(gain, 0) + (n - coalesce(met, 0)) * ln(a) - n * unit AS score
+              FROM n CROSS JOIN u JOIN l ON l.label = u.label LEFT JOIN g ON g.setting = u.setting AND g.doc_id = n.doc_id AND g.label = u.label),
+        p AS (SELECT setting, actual, label AS guess FROM (SELECT *, row_number() OVER (PARTITION BY setting, doc_id ORDER BY score DESC, label) AS r FROM s) AS x WHERE r = 1),
+        f AS (SELECT setting, k, count(*) FILTER (WHERE actual = k) AS support,
+                     coalesce(2.0 * count(*) FILTER (WHERE actual = k AND guess = k)
+                              / nullif(count(*) FILTER (WHERE actual = k) + count(*) FILTER (WHERE guess = k), 0), 0) AS f1
+              FROM p CROSS JOIN (VALUES (0), (1), (2)) AS classes(k) GROUP BY setting, k),
+        m AS (SELECT setting, round(avg(f1), 10) AS macro_f1, round(sum(f1 * support) / sum(support), 10) AS weighted_f1 FROM f GROUP BY setting)
+        SELECT m.setting, smoothing, least, macro_f1, weighted_f1, row_number() OVER (ORDER BY macro_f1 DESC, m.setting) = 1 AND macro_f1 > 0 AS best
+        FROM m JOIN grid ON m.setting = grid.setting""",
+)
 def l08(t: Tables) -> DataFrame:
     rows = t.labelled().where("label IS NOT NULL").select("doc_id", "text", "label")
     split = sampling.stratified_split(rows, "doc_id", "label")
-    return scoring.grid_search(split.where("split = 'train'"), split.where("split = 'test'"), "text", "label")
+    out = scoring.word_grid_search(split.where("split = 'train'"), split.where("split = 'test'"), "doc_id", "text", "label")
+    return rounded(out, 10, "macro_f1", "weighted_f1")
 
 
 SHARE_SQL = """
@@ -219,17 +277,27 @@ def l09c(t: Tables) -> DataFrame:
     return rounded(shares, 6, "positive_sentiment_percentage")
 
 
-@query("l09_end_to_end")
+@query(
+    "l09_end_to_end",
+    SHARE_SQL[: SHARE_SQL.index("counts AS")] + bayes_sql("lang_", "SELECT text, lang AS cls FROM documents", "SELECT comment_id AS k, text FROM latest")
+    + ", " + bayes_sql("tone_", LABELLED_TEXTS, "SELECT comment_id AS k, text FROM latest") + """,
+      counts AS (SELECT cls, count(*) AS n FROM lang_guess GROUP BY cls),
+      running AS (SELECT cls, sum(n) OVER (ORDER BY n DESC, cls ROWS UNBOUNDED PRECEDING) AS cum, sum(n) OVER () AS total FROM counts)
+      SELECT video_id, round(avg(CASE WHEN b.cls = 'positive' THEN 1.0 ELSE 0.0 END) * 100, 6) AS positive_sentiment_percentage
+      FROM latest JOIN lang_guess AS a ON comment_id = a.k JOIN tone_guess AS b ON comment_id = b.k
+      WHERE a.cls IN (SELECT cls FROM running WHERE cum * 100 <= total * 90) GROUP BY video_id""",
+)
 def l09d(t: Tables) -> DataFrame:
     """Both built-in scorers, trained on the sample's labels."""
-    profile = scoring.train_language_profile(t.texts(), "text", "lang")
-    model = scoring.train_sentiment(t.labelled().where("label IS NOT NULL"), "text", "label")
-    return run_sentiment(
+    languages = scoring.train_language_profile(t.texts(), "text", "lang")
+    sentiment = sentiment_profile(t)
+    shares = run_sentiment(
         t.comments(),
-        lambda df: scoring.detect_language(df, "comment_id", "text", profile),
-        lambda df: scoring.classify(df, "text", model),
+        lambda df: scoring.detect_language(df, "comment_id", "text", languages),
+        lambda df: scoring.attach_class(df, "comment_id", "text", sentiment, "sentiment_label"),
         **L9_WINDOW,
     )
+    return rounded(shares, 6, "positive_sentiment_percentage")
 
 
 @query(

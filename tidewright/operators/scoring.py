@@ -22,9 +22,6 @@ from tidewright.operators.frames import concat_frames
 from tidewright.operators.hotkeys import attach_counted
 from tidewright.session import cut_lineage
 
-# A trained profile is broadcast up to this size, counted from its rows; larger ones are shuffled.
-BROADCAST_BYTES = 256 << 20
-MAX_LANGUAGES = 1_000
 # Settings of a grid fitted at the same time; the fits share one materialised input.
 PARALLEL_FITS = 3
 
@@ -48,90 +45,87 @@ def keyword_weights(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 @dataclass(frozen=True)
-class LanguageProfile:
-    """Multinomial naive Bayes over words. ``gains`` has one row per token with ln(count + 1) for
-    every language in ``languages`` and the token's training count ``n``."""
+class WordCounts:
+    """Training counts of (class, token), stored, and the number of texts per class."""
+
+    counts: DataFrame
+    texts: DataFrame
+
+
+@dataclass(frozen=True)
+class WordProfile:
+    """Multinomial naive Bayes over words. ``gains`` has one row per token with
+    ln((count + smoothing) / smoothing) for every class in ``classes``."""
 
     gains: DataFrame
-    n_tokens: int
-    languages: list[str]
+    classes: list
     priors: list[float]
     units: list[float]
 
-    def size_bytes(self) -> int:
-        """Size of the broadcast rows: per token its text, an array header and one double each."""
-        return self.n_tokens * (96 + 8 * len(self.languages))
 
+def count_words(df: DataFrame, text: str, label: str) -> WordCounts:
+    """Null labels are a class of no text and leave the training set."""
+    given = df.where(F.col(label).isNotNull()).select(F.col(label).alias("class"), words(F.col(text)).alias("tokens"))
+    counts = given.select("class", F.explode("tokens").alias("token")).groupBy("class", "token").agg(F.count(F.lit(1)).alias("c"))
+    texts = df.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("class")).agg(F.count(F.lit(1)).alias("texts"))
+    return WordCounts(cut_lineage(counts), cut_lineage(texts))
 
-def train_language_profile(df: DataFrame, text: str, language: str) -> LanguageProfile:
-    counts = cut_lineage(
-        df.select(F.col(language).alias("language"), F.explode(words(F.col(text))).alias("token"))
-        .groupBy("language", "token")
-        .agg(F.count(F.lit(1)).alias("c"))
-    )
+
+def word_profile(trained: WordCounts, smoothing: float = 1.0, least: int = 1) -> WordProfile:
+    """The model with words that occur at least ``least`` times; others weigh like unseen ones.
+
+    One row per class reaches the driver: the classes become columns of the scoring plan.
+    """
+    counts = trained.counts
+    if least > 1:
+        common = counts.groupBy("token").agg(F.sum("c").alias("n")).where(F.col("n") >= least)
+        counts = counts.join(common.select("token"), "token")
     vocabulary = counts.select("token").distinct().count()
-    # One row per language: a model parameter, checked to be small before it reaches the driver.
-    per_language = (
-        counts.groupBy("language").agg(F.sum("c").alias("words"))
-        .join(df.groupBy(F.col(language).alias("language")).agg(F.count(F.lit(1)).alias("texts")), "language")
-        .orderBy("language")
-        .limit(MAX_LANGUAGES + 1)
-        .collect()
-    )
-    if len(per_language) > MAX_LANGUAGES:
-        raise ValueError("too many languages for one profile")
-    languages = [r["language"] for r in per_language]
-    texts = sum(r["texts"] for r in per_language)
-    gains = (
-        counts.groupBy("token")
-        .pivot("language", languages)
-        .agg(F.first("c"))
-        .select(
-            "token",
-            sum((F.coalesce(F.col(f"`{l}`"), F.lit(0)) for l in languages), F.lit(0)).alias("n"),
-            F.array(*[F.ln(F.coalesce(F.col(f"`{l}`"), F.lit(0)) + 1) for l in languages]).alias("gains"),
-        )
+    per_class = (
+        counts.groupBy("class").agg(F.sum("c").alias("words")).join(trained.texts, "class").orderBy("class").collect()
     )
-    return LanguageProfile(
+    classes = [r["class"] for r in per_class]
+    texts = trained.texts.agg(F.sum("texts")).first()[0]
+    of_class = [F.sum(F.when(F.col("class") == F.lit(name), F.col("c")).otherwise(0)) for name in classes]
+    gains = counts.groupBy("token").agg(F.array(*[F.ln(n / F.lit(smoothing) + 1) for n in of_class]).alias("gains"))
+    return WordProfile(
         gains=cut_lineage(gains),
-        n_tokens=vocabulary,
-        languages=languages,
-        priors=[math.log(r["texts"] / texts) for r in per_language],
-        units=[math.log(r["words"] + vocabulary) for r in per_language],
+        classes=classes,
+        priors=[math.log(r["texts"] / texts) for r in per_class],
+        units=[math.log(r["words"] / smoothing + vocabulary) for r in per_class],
     )
 
 
-def detect_language(df: DataFrame, key: str, text: str, profile: LanguageProfile) -> DataFrame:
-    """Adds ``language``, the most likely one for the flattened text.
+def train_language_profile(df: DataFrame, text: str, language: str) -> WordProfile:
+    return word_profile(count_words(df, text, language))
+
 
-    Words meet the profile inside the scan stage when it is small enough to broadcast; the sums are
-    combined map-side, so the shuffle carries one row per text.
+def attach_class(df: DataFrame, key: str, text: str, profile: WordProfile, name: str) -> DataFrame:
+    """Adds ``name``, the most likely class of the flattened text; ``key`` is unique in ``df``.
+
+    The stored profile carries its size, so the optimizer broadcasts it where the session's threshold
+    allows; words then meet it inside the scan stage. The sums are combined map-side.
     """
-    token_lists = df.select(key, words(flatten_lines(F.col(text))).alias("tokens"))
-    tokens = token_lists.select(key, F.explode_outer("tokens").alias("token"))
-    width = range(len(profile.languages))
-    zeros = F.array(*[F.lit(0.0) for _ in width])
-    if profile.size_bytes() <= BROADCAST_BYTES:
-        matched = tokens.join(F.broadcast(profile.gains.select("token", "gains")), "token", "left")
-        rows = matched.select(
-            key, F.when(F.col("token").isNotNull(), 1).otherwise(0).alias("n"), F.coalesce("gains", zeros).alias("gains")
-        )
-    else:
-        matched = attach_counted(tokens, profile.gains, ["token"], "n")
-        rows = token_lists.select(key, F.size("tokens").alias("n"), zeros.alias("gains")).unionByName(
-            matched.select(key, F.lit(0).alias("n"), "gains")
-        )
-    sums = rows.groupBy(key).agg(
-        F.sum("n").alias("n"), *[F.sum(F.col("gains")[i]).alias(f"g{i}") for i in width]
+    tokens = df.select(key, F.explode_outer(words(flatten_lines(F.col(text)))).alias("token"))
+    width = range(len(profile.classes))
+    sums = (
+        tokens.join(profile.gains, "token", "left")
+        .groupBy(key)
+        .agg(F.count("token").alias("n"), *[F.coalesce(F.sum(F.col("gains")[i]), F.lit(0.0)).alias(f"g{i}") for i in width])
     )
     scores = F.array(
         *[F.lit(profile.priors[i]) + F.col(f"g{i}") - F.col("n") * F.lit(profile.units[i]) for i in width]
     )
-    names = F.array(*[F.lit(l) for l in profile.languages])
-    detected = sums.select(key, scores.alias("_scores")).select(
-        key, F.element_at(names, argmax(F.col("_scores")) + 1).alias("language")
+    names = F.array(*[F.lit(c) for c in profile.classes])
+    chosen = sums.select(key, scores.alias("_scores")).select(
+        key, F.element_at(names, argmax(F.col("_scores")) + 1).alias(name)
     )
-    return df.join(detected, key)
+    return df.join(chosen, key)
+
+
+def detect_language(df: DataFrame, key: str, text: str, profile: WordProfile) -> DataFrame:
+    """Adds ``language``, the most likely one for the flattened text."""
+    return attach_class(df, key, text, profile, "language")
 
 
 def batch_scorer(load: Callable[[], Callable[[list[str]], list[str]]], batch: int = 64):
@@ -222,11 +216,40 @@ def grid_search(
             for i in range(len(grid))
         ]
     )
+    return _ranked(cells, models[0].numClasses, {"reg": [g[0] for g in grid], "max_iter": [g[1] for g in grid]})
+
+
+def word_grid_search(
+    train: DataFrame,
+    test: DataFrame,
+    key: str,
+    text: str,
+    label: str,
+    smoothings: Sequence[float] = (0.1, 1.0, 10.0),
+    leasts: Sequence[int] = (1, 3),
+    classes: int = 3,
+) -> DataFrame:
+    """As ``grid_search``, for the word model: the training words are counted once for all settings."""
+    trained = count_words(train, text, label)
+    grid = [(s, n) for s in smoothings for n in leasts]
+    asked = test.where(F.col(label).isNotNull()).select(key, text, label)
+    cells = concat_frames(
+        [
+            cell_counts(attach_class(asked, key, text, word_profile(trained, s, n), "_prediction"), label, "_prediction")
+            .withColumn("setting", F.lit(i))
+            for i, (s, n) in enumerate(grid)
+        ]
+    )
+    return _ranked(cells, classes, {"smoothing": [g[0] for g in grid], "least": [g[1] for g in grid]})
+
+
+def _ranked(cells: DataFrame, classes: int, settings: dict[str, list]) -> DataFrame:
+    """Scores of every setting with the winner marked."""
     by = ["setting"]
-    scores = overall_scores(class_scores(full_matrix(cut_lineage(cells), models[0].numClasses, by), by), by)
-    reg_of, iterations_of = (F.array(*[F.lit(g[i]) for g in grid]) for i in (0, 1))
+    scores = overall_scores(class_scores(full_matrix(cut_lineage(cells), classes, by), by), by)
     out = scores.select(
-        "setting", reg_of[F.col("setting")].alias("reg"), iterations_of[F.col("setting")].alias("max_iter"),
+        "setting",
+        *[F.array(*[F.lit(v) for v in values])[F.col("setting")].alias(name) for name, values in settings.items()],
         "macro_f1", "weighted_f1",
     )
     # Highest macro F1, earliest setting on ties, and only if above 0: one row per setting.
