@@ -519,9 +519,48 @@ def s15(t: Tables) -> DataFrame:
     return dependable(report, "grp", "p_brand")
 
 
-@query("s15_feature_half_lives")
+def _feature_half_lives_sql() -> str:
+    """Search over the rate on the plain rows with the database's own regression; errors from the normal matrix."""
+    ctes = [
+        """d AS (SELECT content_pillar AS g, video_age_days::DOUBLE AS t0, daily_view_velocity AS y FROM features
+                 WHERE content_pillar IS NOT NULL AND video_age_days IS NOT NULL AND daily_view_velocity IS NOT NULL),
+           pts AS (SELECT g, t0 - min(t0) OVER (PARTITION BY g) AS t, y FROM d),
+           r0 AS (SELECT g, ln(1e-7 / max(t)) AS lo, ln(40 / min(t) FILTER (WHERE t > 0)) AS hi FROM pts GROUP BY g HAVING max(t) > 0)"""
+    ]
+    for i in range(6):
+        ctes.append(
+            f"""x{i} AS (SELECT r.g, lr, h, exp(-exp(lr) * t) AS x, y
+                         FROM (SELECT g, lo + (hi - lo) * j / 200.0 AS lr, (hi - lo) / 200 AS h FROM r{i}, range(201) AS s(j)) AS r JOIN pts ON pts.g = r.g),
+            c{i} AS (SELECT g, lr, regr_slope(y, x) AS b, regr_intercept(y, x) AS a, avg(y) AS m, sum(x * y) / sum(x * x) AS b0 FROM x{i} GROUP BY g, lr),
+            f{i} AS (SELECT g, lr, CASE WHEN b > 0 AND NOT isnan(b) THEN CASE WHEN a < 0 THEN greatest(b0, 0) ELSE b END ELSE 0 END AS v,
+                            CASE WHEN b > 0 AND NOT isnan(b) THEN greatest(a, 0) ELSE greatest(m, 0) END AS f FROM c{i}),
+            q{i} AS (SELECT x.g, x.lr, any_value(h) AS h, any_value(v) AS v, any_value(f) AS f, sum((y - v * x - f) ** 2) AS sse
+                     FROM x{i} AS x JOIN f{i} AS k ON x.g = k.g AND x.lr = k.lr GROUP BY x.g, x.lr),
+            r{i + 1} AS (SELECT g, arg_min(lr, sse) - any_value(h) AS lo, arg_min(lr, sse) + any_value(h) AS hi,
+                                exp(arg_min(lr, sse)) AS r, arg_min(v, sse) AS v, min(sse) AS sse FROM q{i} GROUP BY g)"""
+        )
+    ctes.append(
+        """s AS (SELECT p.g, any_value(r) AS r, any_value(sse) AS sse, count(*) AS n, sum(e * e) AS a, sum(e * k) AS b, sum(e) AS c, sum(k * k) AS q, sum(k) AS h
+                 FROM (SELECT r6.*, exp(-r * t) AS e, -v * t * exp(-r * t) AS k FROM r6 JOIN pts ON pts.g = r6.g) AS p GROUP BY p.g),
+           fit AS (SELECT g, r, 1.96 * sqrt(sse / (n - 3) * (a * n - c * c) / (a * (q * n - h * h) - b * (b * n - h * c) + c * (b * h - q * c))) AS w FROM s
+                   WHERE n > 3 AND a * (q * n - h * h) - b * (b * n - h * c) + c * (b * h - q * c) > 0),
+           bound AS (SELECT g, ln(2) / r AS hl, ln(2) / (r + w) AS lo, ln(2) / (r - w) AS hi FROM fit WHERE r > w),
+           mode AS (SELECT content_pillar, video_format, row_number() OVER (PARTITION BY content_pillar ORDER BY count(*) DESC, video_format) AS k
+                    FROM features WHERE video_format IS NOT NULL GROUP BY content_pillar, video_format)"""
+    )
+    return "WITH " + ", ".join(ctes) + """
+        SELECT p.g AS content_pillar, video_format, CAST(round_even(hl, 0) AS INTEGER) AS half_life_estimate, round(lo, 2) AS estimate_lb,
+               round(hi, 2) AS estimate_ub, round((hi - lo) / 2 / hl * 100, 2) AS rel_moe,
+               CASE WHEN (hi - lo) / 2 / hl < 0.1 THEN 'Reliable' WHEN (hi - lo) / 2 / hl < 0.2 THEN 'Acceptable'
+                    WHEN (hi - lo) / 2 / hl < 0.4 THEN 'Proceed with Caution' ELSE 'Unreliable' END AS tier
+        FROM (SELECT DISTINCT g FROM d) AS p LEFT JOIN bound ON bound.g = p.g LEFT JOIN mode ON mode.content_pillar = p.g AND k = 1"""
+
+
+@query("s15_feature_half_lives", _feature_half_lives_sql())
 def s15b(t: Tables) -> DataFrame:
-    return half_life_report(t.features())
+    """The report on the feature table; a half-life without an upper bound is not stated."""
+    stated = {c: F.when(F.col("rel_moe").isNotNull(), F.col(c)) for c in ("half_life_estimate", "estimate_lb", "estimate_ub")}
+    return half_life_report(t.features()).withColumns(stated).drop("decay_const")
 
 
 @query(
