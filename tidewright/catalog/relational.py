@@ -379,11 +379,10 @@ def t5(t: Tables) -> DataFrame:
 
 @query(
     "t6_newlines_to_spaces",
-    "SELECT doc_id, replace(coalesce(CASE WHEN lang <> 'es' THEN text END, ''), chr(10), ' ') AS flat FROM documents",
+    "SELECT doc_id, replace(coalesce(text, ''), chr(10), ' ') AS flat FROM texts_and_nulls",
 )
 def t6(t: Tables) -> DataFrame:
-    some = F.when(F.col("lang") != "es", F.col("text"))
-    return t.table("documents").select("doc_id", text.flatten_lines(some).alias("flat"))
+    return t.texts_and_nulls().select("doc_id", text.flatten_lines(F.col("text")).alias("flat"))
 
 
 @query("t7_strip_label_prefix", "SELECT doc_id, replace('__label__' || lang, '__label__', '') AS lang FROM documents")

@@ -35,6 +35,11 @@ class Tables:
         """Documents for work that is heavy per row."""
         return spread(self.table("documents"))
 
+    def texts_and_nulls(self) -> DataFrame:
+        """Every document, and for one language a second row without a text."""
+        d = self.table("documents")
+        return d.select("doc_id", "text").unionByName(d.where("lang = 'es'").select("doc_id", F.lit(None).cast("string").alias("text")))
+
     def snapshots(self) -> DataFrame:
         """Counter snapshots from events; some have no views yet, some lack a comment counter."""
         seconds = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000) - EPOCH_2024
@@ -230,6 +235,7 @@ SQL_SHAPES = {
         SELECT 'c' || (doc_id // 2) AS comment_id, 'v' || ((doc_id // 2) % 150) AS video_id, text, lang, doc_id,
                TIMESTAMP '2024-01-01' + to_days(CAST(doc_id % 25 AS INTEGER)) + to_seconds(doc_id % 86400) AS scraped_at
         FROM documents""",
+    "texts_and_nulls": "SELECT doc_id, text FROM documents UNION ALL SELECT doc_id, NULL FROM documents WHERE lang = 'es'",
     "labelled": """
         SELECT doc_id, 'v' || (doc_id % 150) AS video_id, doc_id AS comment_id, text, lang AS language,
                CASE WHEN toxic = 1 THEN 0 WHEN quality = 0 THEN 1 WHEN quality = 1 THEN 2 END AS label
