@@ -210,12 +210,12 @@ def i10(t: Tables) -> DataFrame:
 
 
 COMMENTS_SQL = """
-    SELECT 'v' || (doc_id % 150) AS video_id, 'c' || doc_id AS comment_id, CASE WHEN lang = 'es' THEN 'Unknown' ELSE source END AS author,
-           CASE WHEN n_chars >= 200 THEN text ELSE '' END AS text,
+    SELECT 'v' || (doc_id % 150) AS video_id, CASE WHEN has_text THEN 'c' ELSE 'n' END || doc_id AS comment_id, CASE WHEN lang = 'es' THEN 'Unknown' ELSE source END AS author,
+           CASE WHEN has_text THEN text ELSE '' END AS text,
            CAST(CASE WHEN lang = 'de' THEN 0 ELSE n_chars END AS INTEGER) AS like_count,
            epoch_us(TIMESTAMP '2024-01-02 03:04:05') AS published_at,
            epoch_us(TIMESTAMP '2024-01-01' + to_days(CAST(doc_id // 7500 AS INTEGER))) AS scraped_at
-    FROM documents"""
+    FROM (SELECT *, true AS has_text FROM documents UNION ALL SELECT *, false FROM documents WHERE lang = 'es') AS d"""
 
 
 def comment_columns(df: DataFrame) -> DataFrame:
@@ -543,7 +543,7 @@ def st3(t: Tables) -> DataFrame:
 
 @query(
     "st4_stage_order",
-    """SELECT 'comments' AS name, count(*) AS n FROM documents
+    """SELECT 'comments' AS name, count(*) + count(*) FILTER (WHERE lang = 'es') AS n FROM documents
        UNION ALL SELECT 'snippets', count(DISTINCT video_id) FROM payload_items
        UNION ALL SELECT 'stats', count(*) FROM (SELECT DISTINCT video_id, scraped_at FROM payload_items) AS d""",
 )

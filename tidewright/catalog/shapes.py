@@ -112,20 +112,23 @@ class Tables:
         )
 
     def raw_comments(self) -> DataFrame:
-        """One payload of at most 50 comments per video and round, as JSON text."""
+        """One payload of the comments per video and round, as JSON text. Every document is a comment with its
+        text; those of one language are a second one without."""
         d = F.col
         body = F.struct(
             F.when(d("lang") != "es", d("source")).alias("authorDisplayName"),
-            F.when(d("n_chars") >= 200, d("text")).alias("textDisplay"),
+            F.when(d("has_text"), d("text")).alias("textDisplay"),
             F.when(d("lang") != "de", d("n_chars")).alias("likeCount"),
             F.lit("2024-01-02T03:04:05Z").alias("publishedAt"),
         )
         item = F.struct(
-            F.concat(F.lit("c"), d("doc_id")).alias("id"),
+            F.concat(F.when(d("has_text"), "c").otherwise("n"), d("doc_id")).alias("id"),
             F.struct(F.struct(body.alias("snippet")).alias("topLevelComment")).alias("snippet"),
         )
+        kinds = F.when(d("lang") == "es", F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(True)))
         return (
             self.table("documents")
+            .withColumn("has_text", F.explode(kinds))
             .select(
                 F.concat(F.lit("v"), d("doc_id") % 150).alias("video_id"),
                 F.floor(d("doc_id") / 7500).alias("round"),
