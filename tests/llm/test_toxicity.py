@@ -81,3 +81,28 @@ def test_sample_bound_is_kept(spark, rows):
     docs, labels = toxic_corpus(200)
     model = toxicity.train(spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS), rows=rows)
     assert len(model.vocabulary) <= toxicity.VOCABULARY
+
+
+def test_a_crowd_of_junk_words_leaves_the_toxic_words_their_places(spark):
+    """More words tell junk than any fixed vocabulary holds, and better than the toxic ones do."""
+    spam = ["zq" + "".join(chr(97 + i // 26**p % 26) for p in (2, 1, 0)) for i in range(700)]
+    docs, labels = [], []
+    for i in range(300):
+        junk, toxic = i % 3 == 0, i % 4 == 1
+        words = prose(random.Random(i), 20).split() + (spam if junk else []) + (["grutnak"] if toxic and i % 8 == 1 else [])
+        docs.append((i, " ".join(words), "en", "src0", 1))
+        labels.append((i, int(not junk), int(toxic)))
+    model = toxicity.train(spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS))
+    assert {*spam, "grutnak"} <= set(model.vocabulary)
+
+
+def test_fit_ends_at_the_optimum():
+    draw = np.random.default_rng(2)
+    x = draw.random((400, 60)) < 0.15
+    y = (draw.random(400) < 1 / (1 + np.exp(-(x[:, :8].sum(axis=1) * 2.0 - 3)))).astype(float)
+    rows, cols = np.nonzero(x)
+    earlier = draw.random((400, 1))
+    w = toxicity.fit_linear(rows, cols, 60, earlier, y)
+    wide = np.column_stack([np.ones(400), earlier, x])
+    slope = wide.T @ (1 / (1 + np.exp(-wide @ w)) - y) + 0.3 * np.concatenate([[0.0], w[1:]])
+    assert np.abs(slope).max() <= toxicity.SLOPE + 1e-6
