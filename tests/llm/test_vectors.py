@@ -62,3 +62,16 @@ def test_recall_on_the_sample(spark):
     near = (x @ x.T >= 0.98) & (same[:, None] == same[None]) & ~np.eye(len(x), dtype=bool)
     got = {r.vec_id: r.n_links for r in queries.op7_vectors(spark, folder).collect()}
     assert got == {r.vec_id: int(n) for r, n in zip(given, near.sum(axis=1))}
+
+
+@pytest.mark.parametrize("lengths", [1, 8])
+def test_an_odd_row_first_hides_no_other_length(spark, rows, monkeypatch, lengths):
+    """Every length is linked on its own, whichever row comes first."""
+    monkeypatch.setattr(vectors, "LENGTHS", lengths)
+    monkeypatch.setattr(vectors, "BLOCK", 16)
+    given = [r for r in sample() if r[0] != 506]
+    pairs = [(600, [1.0, 2.0], 1), (601, [1.01, 2.0], 1), (602, [2.0, -1.0], 1)] + [(610 + i, [1.0, 0.0, 0.001 * i], 2) for i in range(40)]
+    frame = spark.createDataFrame([pairs[0], *given, *pairs[1:]], SCHEMA).coalesce(1)
+    monkeypatch.setattr(vectors.Index, "reach", lambda self, sample, radius, recall: radius)  # exact
+    want = expected(given) + [(600, 1, 600, True), (601, 1, 600, False), (602, 0, 602, True)] + [(610 + i, 39, 610, i == 0) for i in range(40)]
+    assert rows(vectors.near_vectors(frame)) == sorted(want, key=repr)

@@ -5,7 +5,8 @@ one cell and looks for its neighbours in others, nearest first: the multi-sequen
 a_k^2 + b_l^2, where a_k is how far the first half would have to move before centroid k is its nearest
 (the distance to the bisecting plane), and b_l likewise. It ends where the target recall is reached:
 sample vectors are moved by the largest distance of a link in random directions, and the traversal goes
-as far as the target share of them needs. What it meets is verified in double precision.
+as far as the target share of them needs. What it meets is verified in double precision. Vectors of another
+length have codebooks of their own.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ COSINE = 0.98
 FIT_ROWS = 4096
 CENTROIDS = 32
 RECALL = 0.999
+# Lengths that get codebooks of their own, the commonest first; each other length is one cell per label.
+LENGTHS = 8
 # Vectors of one cell that are compared as a block; a larger cell is dealt to several tasks.
 BLOCK = 512
 ROUNDS = 8
@@ -118,8 +121,15 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return np.asarray(column.flatten(), dtype=np.float64).reshape(-1, width)
 
 
-def _links_in_cells(cosine: float, width: int):
-    """For ``mapInArrow`` over rows (label, cell, part, asks, id, copies, x) sorted so: within a cell the stored
+def _by_width(widths: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
+    """Each length in a batch with the places of its rows."""
+    given = np.asarray(widths)
+    for width in np.unique(given).tolist():
+        yield width, np.flatnonzero(given == width)
+
+
+def _links_in_cells(cosine: float):
+    """For ``mapInArrow`` over rows (label, width, cell, part, asks, id, copies, x) sorted so: within a cell the stored
     vectors come first, then those that ask. Per asking vector the number of links and a forest of them."""
 
     def answer(cell: list[tuple]) -> list[tuple[int, int, int]]:
@@ -165,16 +175,16 @@ def _links_in_cells(cosine: float, width: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = np.column_stack([np.asarray(batch.column(i), dtype=np.int64) for i in range(3)])
+            keys = np.column_stack([np.asarray(batch.column(i), dtype=np.int64) for i in range(4)])
             bounds = np.concatenate(([0], np.flatnonzero(np.any(keys[1:] != keys[:-1], axis=1)) + 1, [len(keys)]))
-            asks = np.asarray(batch.column(3).to_numpy(zero_copy_only=False), dtype=bool)
-            ids, copies, x = np.asarray(batch.column(4)), np.asarray(batch.column(5)), unit(_matrix(batch.column(6), width))[0]
+            asks = np.asarray(batch.column(4).to_numpy(zero_copy_only=False), dtype=bool)
+            ids, copies, x = np.asarray(batch.column(5)), np.asarray(batch.column(6)), batch.column(7)
             for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
                 if key is not None and tuple(keys[s]) != key:
                     yield flush()
                     held = []
                 key = tuple(keys[s])
-                held.append((ids[s:e], asks[s:e], copies[s:e], x[s:e]))
+                held.append((ids[s:e], asks[s:e], copies[s:e], unit(_matrix(x.slice(s, e - s), key[1]))[0]))
         if held:
             yield flush()
 
@@ -188,9 +198,9 @@ def near_vectors(
     """One row per vector: ``key``, ``n_links`` (other vectors linked directly), ``component_id`` (the
     smallest key reachable by links) and ``kept`` (it is its own component id).
 
-    Only vectors with the same label, not null, are compared. Equal vectors of a label are found as one
+    Only vectors with the same label, not null, and of the same length are compared. Equal vectors of a label are found as one
     and counted by their number. A vector that is null, empty, zero, holds a null or a non-finite
-    component, or is not as long as the first usable one links with nothing; so does one with a null key, whose row stays
+    component links with nothing; so does one with a null key, whose row stays
     (component null, kept false). Repeated rows are vectors of their own that link with each other; different
     vectors under one key share its component. An empty table gives an empty result; other columns are not read.
     """
@@ -199,52 +209,64 @@ def near_vectors(
     given = vectors.select(F.col(key).alias("key"), F.col(label).cast("long").alias("label"), x.alias("x"))
     sized = F.col("x").isNotNull() & F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf")))) & F.exists("x", lambda v: v != 0)
     usable = given.where(sized & F.col("label").isNotNull() & F.col("key").isNotNull())
-    first = usable.select(F.size("x")).first()
-    width = first[0] if first else 0
     # Equal vectors of a label are one class, named by its smallest key.
     classes = cut_lineage(
-        usable.where(F.size("x") == width).groupBy("label", "x").agg(F.min("key").alias("id"), F.count(F.lit(1)).alias("copies"))
+        usable.groupBy("label", "x").agg(F.min("key").alias("id"), F.count(F.lit(1)).alias("copies")).withColumn("width", F.size("x"))
     )
-    sample = classes.orderBy(F.xxhash64("x"), "id").limit(fit_rows).select("x").toArrow().column(0).to_pylist()
-    if not sample:
+    common = classes.groupBy("width").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "width").limit(LENGTHS).collect()
+    if not common:
         return vectors.select(F.col(key), F.lit(0).cast("long").alias("n_links"), F.col(key).alias("component_id"), F.col(key).isNotNull().alias("kept"))
-    index_sample = unit(np.array(sample, dtype=np.float64))[0]
-    index = Index(index_sample)
-    reach = index.reach(index_sample, float(np.sqrt(max(0.0, 2 - 2 * cosine))), recall)
-    schema = classes.select("label").schema.add("cell", "long").add("asks", "boolean")
+    indexes = {}
+    for width, _ in common:
+        sample = classes.where(F.col("width") == width).orderBy(F.xxhash64("x"), "id").limit(fit_rows).select("x").toArrow().column(0).to_pylist()
+        index_sample = unit(np.array(sample, dtype=np.float64))[0]
+        index = Index(index_sample)
+        indexes[width] = index, index.reach(index_sample, float(np.sqrt(max(0.0, 2 - 2 * cosine))), recall)
+    schema = classes.select("label", "width").schema.add("cell", "long").add("asks", "boolean")
     schema = schema.add(classes.schema["id"]).add(classes.schema["copies"]).add(classes.schema["x"])
 
-    def deal(batch: pa.RecordBatch) -> pa.RecordBatch:
-        """Every vector once in its own cell and, asking, once in each cell it looks into."""
-        x, _ = unit(_matrix(batch.column(3), width))
+    def cells(index: Index, x: np.ndarray) -> np.ndarray:
         k, l = index.cells(x)
-        rows, cells = index.visits(x, reach)
-        take = pa.array(np.concatenate([np.arange(len(x)), rows]))
-        cell = np.concatenate([k * len(index.books[1]) + l, cells]).astype(np.int64)
-        asks = np.concatenate([np.zeros(len(x), bool), np.ones(len(rows), bool)])
-        own = [batch.column(i).take(take) for i in range(4)]
-        return pa.RecordBatch.from_arrays(
-            [own[0], pa.array(cell), pa.array(asks), *own[1:]], names=["label", "cell", "asks", "id", "copies", "x"]
-        )
+        return (k * len(index.books[1]) + l).astype(np.int64)
+
+    def deal(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
+        """Every vector once in its own cell and, asking, once in each cell it looks into."""
+        out = []
+        for width, at in _by_width(batch.column(1)):
+            part = batch.take(pa.array(at))
+            own = rows = np.arange(len(at))
+            cell = np.zeros(2 * len(at), dtype=np.int64)
+            if width in indexes:
+                index, reach = indexes[width]
+                x, _ = unit(_matrix(part.column(4), width))
+                rows, asked = index.visits(x, reach)
+                cell = np.concatenate([cells(index, x), asked]).astype(np.int64)
+            taken = part.take(pa.array(np.concatenate([own, rows])))
+            asks = np.concatenate([np.zeros(len(own), bool), np.ones(len(rows), bool)])
+            out.append(pa.RecordBatch.from_arrays([*taken.columns[:2], pa.array(cell), pa.array(asks), *taken.columns[2:]], names=schema.names))
+        return out
 
     def stored(batch: pa.RecordBatch) -> pa.RecordBatch:
-        k, l = index.cells(unit(_matrix(batch.column(1), width))[0])
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array((k * len(index.books[1]) + l).astype(np.int64))], names=["label", "cell"])
+        cell = np.zeros(batch.num_rows, dtype=np.int64)
+        for width, at in _by_width(batch.column(1)):
+            if width in indexes:
+                cell[at] = cells(indexes[width][0], unit(_matrix(batch.column(2).take(pa.array(at)), width))[0])
+        return pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(cell)], names=["label", "width", "cell"])
 
     # A crowded cell is stored in parts of about BLOCK vectors, and whoever asks asks every part.
     parts = cut_lineage(
-        classes.select("label", "x").mapInArrow(per_batch(stored), "label long, cell long")
-        .groupBy("label", "cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
+        classes.select("label", "width", "x").mapInArrow(per_batch(stored), "label long, width int, cell long")
+        .groupBy("label", "width", "cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
     )
-    dealt = classes.select("label", "id", "copies", "x").mapInArrow(per_batch(deal), schema)
-    met = dealt.join(parts, ["label", "cell"])
+    dealt = classes.select("label", "width", "id", "copies", "x").mapInArrow(per_batch(deal), schema)
+    met = dealt.join(parts, ["label", "width", "cell"])
     spread = F.when(F.col("asks"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(
         F.array(F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     )
-    rows = met.select("label", "cell", F.explode(spread).alias("part"), "asks", "id", "copies", "x")
-    by = ["label", "cell", "part"]
+    rows = met.select("label", "width", "cell", F.explode(spread).alias("part"), "asks", "id", "copies", "x")
+    by = ["label", "width", "cell", "part"]
     found = cut_lineage(
-        rows.repartition(*by).sortWithinPartitions(*by, "asks").mapInArrow(_links_in_cells(cosine, width), "a long, n long, b long")
+        rows.repartition(*by).sortWithinPartitions(*by, "asks").mapInArrow(_links_in_cells(cosine), "a long, n long, b long")
     )
     roots = components(found.where("a <> b"))
     counts = found.groupBy("a").agg(F.sum("n").alias("n"))
