@@ -69,3 +69,21 @@ def test_awkward_pages(spark, write, model):
     assert texts[1] == texts[2] == texts[5] == ""
     assert pages.extract_batch([rows[7][2]], model) == [("word " * 50_000).strip()]
     assert queries.op6_pages(spark, write(pages=frame.limit(0))).count() == 0
+
+
+@pytest.mark.parametrize(
+    "icon",
+    ['<svg class="i"/>', "<svg-icon></svg-icon>", "<title-bar></title-bar>", "<template-x></template-x>", '<svg class="i">', "<noscript>", "<template>",
+     '<svg viewBox="0 0 1 1"><title>a mark</title></svg>', "<script>if (a < b) document.write('</p>');</script >"],
+)
+def test_icons_and_custom_elements_swallow_nothing(model, icon):
+    for source in (
+        f"<html><body>{icon}<article>{BODY}</article></body></html>",
+        f"<html><body><div>{icon}</div><article>{icon}{BODY}</article><footer>the end</footer></body></html>",
+    ):
+        assert pages.extract_batch([source], model) == [TEXT], source
+
+
+def test_many_open_icons_are_read_in_one_pass(model):
+    page = pages.Page("<svg><template>" * 100_000 + "<p>text")
+    assert [t for _, _, t, _ in page.pieces] == ["text"]

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +30,14 @@ TRAIN_BYTES = 100_000
 VARIANTS = 5
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|noscript|template|iframe|svg|textarea|title)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)|[^<]+|<",
+    r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)|[^<]+|<",
     re.S | re.I,
 )
+# Elements whose content is no text of the page; those of the second group end with their tag if no end tag follows.
+_RAW_END = {
+    name: re.compile(rf"</{name}(?:[\s/][^>]*)?>", re.I) for name in "script style iframe textarea title noscript template svg".split()
+}
+_NEVER_OPEN = frozenset(("noscript", "template", "svg"))
 _ATTR = re.compile(r"\b(class|id|role|itemprop|aria-label|data-main)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -65,6 +70,27 @@ FEATURES = (
 )
 
 
+def _tokens(source: str) -> Iterator[re.Match]:
+    """The tokens of a page, without its raw elements and what is in them."""
+    at, never_closed = 0, set()
+    while at is not None:
+        start, at = at, None
+        for m in _TOKEN.finditer(source, start):
+            name = (m["tag"] or "").lower()
+            if m["end"] or name not in _RAW_END:
+                yield m
+                continue
+            if name in never_closed or (name == "svg" and m["attrs"].rstrip().endswith("/")):
+                continue
+            closed = _RAW_END[name].search(source, m.end())
+            if closed:
+                at = closed.end()
+                break
+            if name not in _NEVER_OPEN:
+                return
+            never_closed.add(name)
+
+
 class Page:
     """The element tree: parallel lists, an element's parent always before it; 0 is the page itself."""
 
@@ -72,7 +98,7 @@ class Page:
         self.tag, self.parent, self.words, self.main = ["#page"], [-1], [frozenset()], [None]
         self.pieces: list[tuple[int, int, str, bool]] = []  # element, block, text, inside a link
         stack, block, links = [0], 0, 0
-        for m in _TOKEN.finditer(source):
+        for m in _tokens(source):
             name = m["tag"]
             if name is None:
                 text = m[0]
