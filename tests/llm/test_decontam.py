@@ -90,3 +90,16 @@ def test_awkward_tables(spark, write, awkward, clashing, empty):
     assert len(got) == len(awkward_rows()) and not any(r.contaminated for r in got)
     kept = decontam.drop_leaks(clashing, bench)
     assert kept.columns == clashing.columns and kept.count() == len(awkward_rows()) - 2
+
+
+def test_a_like_question_before_the_item_hides_nothing(spark):
+    """Windows that another question of the same template shares keep the values of each of their places."""
+    item = (
+        "At the market Tom buys 14 apples and then Tom sells 6 apples to a friend before Tom walks home with the rest of the fruit"
+    )
+    other = "At the market Bob buys 30 apples and then Bob sells 9 apples to a cousin who lives nearby. "
+    mixed = item.replace("then Tom", "then Ann").replace("before Tom", "before Eve")
+    docs = [(0, item), (1, other + item), (2, other * 3 + item + " " + other), (3, other), (4, mixed), (5, item.replace("Tom", "Ann"))]
+    frame = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in docs], DOCS)
+    got = {r.doc_id: r["items"] for r in decontam.mark_leaks(frame, spark.createDataFrame([(1, item)], BENCH), ["doc_id"]).collect()}
+    assert got == {0: [1], 1: [1], 2: [1], 3: [], 4: [], 5: [1]}

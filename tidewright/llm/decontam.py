@@ -122,11 +122,12 @@ def _windows(rows: DataFrame, sizes: list[int], whole: bool, bits: Broadcast | N
     """(id columns, size, code, slots): the windows of ``rows``, whose last column is the text.
 
     ``whole`` is for the benchmark: an item shorter than a window is one window of its own length.
-    ``bits`` keeps only windows that may be in the benchmark. A window repeated in a text counts once.
+    ``bits`` keeps only windows that may be in the benchmark. A window repeated in a text counts once;
+    ``slots`` has the values of each of its places that differ (of a benchmark item, those of its first).
     """
     ids = rows.columns[:-1]
     schema = rows.select(*ids).schema.add("size", "integer").add("code", "long")
-    schema = schema.add("slots", ArrayType(StringType()))
+    schema = schema.add("slots", ArrayType(ArrayType(StringType())))
 
     def run(batches):
         filter_ = None if bits is None else np.frombuffer(bits.value, dtype=np.uint8)
@@ -142,15 +143,19 @@ def _windows(rows: DataFrame, sizes: list[int], whole: bool, bits: Broadcast | N
                     hits = np.arange(len(found)) if filter_ is None else np.flatnonzero(_in_filter(found, filter_))
                     if not len(hits):
                         continue
-                    _, first = np.unique(found[hits], return_index=True)
-                    for p in hits[first].tolist():
+                    if whole:
+                        hits = hits[np.unique(found[hits], return_index=True)[1]]
+                    taken: dict[int, dict[tuple, None]] = {}
+                    for p in hits.tolist():
+                        taken.setdefault(int(found[p]), {})[tuple(slots(words[p : p + size], p if whole else None))] = None
+                    for code, given in taken.items():
                         at.append(i)
                         width.append(size)
-                        codes.append(found[p])
-                        values.append(slots(words[p : p + size], p if whole else None))
+                        codes.append(code)
+                        values.append(list(given))
             own = batch.select(list(range(len(ids)))).take(pa.array(at, pa.int64()))
             return pa.RecordBatch.from_arrays(
-                [*own.columns, pa.array(width, pa.int32()), pa.array(np.array(codes, dtype=np.uint64).view(np.int64)), pa.array(values, pa.list_(pa.string()))],
+                [*own.columns, pa.array(width, pa.int32()), pa.array(np.array(codes, dtype=np.uint64).view(np.int64)), pa.array(values, pa.list_(pa.list_(pa.string())))],
                 names=[*ids, "size", "code", "slots"],
             )
 
@@ -192,7 +197,8 @@ def find_leaks(
 
     A document holds an item if at least ``similarity`` of the item's distinct template windows (five
     words; a shorter item is one window) occur in it and the values it gives to slots that share a value in
-    the item agree in at least ``consistency`` of these windows. Items without words match nothing.
+    the item agree in at least ``consistency`` of these windows; a window that the document holds several
+    times agrees if it does at any of its places. Items without words match nothing.
     """
     given = benchmark.select(F.col(item).alias("item"), F.col(passage).alias("passage"))
     items = cut_lineage(_windows(given.select("item", F.xxhash64("passage").alias("nth"), "passage"), [], True, None))
@@ -201,7 +207,7 @@ def find_leaks(
     wanted = items.groupBy("item", "nth").agg(F.count(F.lit(1)).alias("wanted"))
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("version"), F.col(text).alias("text"))
     found = _windows(rows, sizes, False, docs.sparkSession.sparkContext.broadcast(_filter(items)))
-    theirs = items.select("item", "nth", "size", "code", F.col("slots").alias("theirs"))
+    theirs = items.select("item", "nth", "size", "code", F.col("slots")[0].alias("theirs"))
     pairs = cut_lineage(found.join(theirs, ["size", "code"]))
     by = ["key", "version", "item", "nth"]
     counts = pairs.groupBy(*by).agg(F.count(F.lit(1)).alias("found"))
@@ -210,12 +216,17 @@ def find_leaks(
         .where(F.col("found") >= F.lit(similarity) * F.col("wanted"))
         .select(*by, (F.col("found") / F.col("wanted")).alias("containment"))
     )
+    # Each slot of a window with the different values it takes in the document; the slot is seen once.
+    slot = F.transform(
+        "theirs", lambda v, i: F.struct(v.alias("theirs"), F.array_distinct(F.transform("slots", lambda given: F.get(given, i))).alias("taken"))
+    )
     values = (
-        pairs.select(*by, F.explode(F.arrays_zip("theirs", "slots")).alias("slot"))
-        .groupBy(*by, F.regexp_replace("slot.theirs", r"@\d+$", "").alias("value"), F.col("slot.slots").alias("taken"))
-        .agg(F.count(F.lit(1)).alias("n"), F.collect_set("slot.theirs").alias("places"))
+        pairs.select(*by, F.explode(slot).alias("slot"))
+        .select(*by, "slot.theirs", F.posexplode("slot.taken").alias("nth_taken", "taken"))
+        .groupBy(*by, F.regexp_replace("theirs", r"@\d+$", "").alias("value"), "taken")
+        .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("nth_taken") == 0).alias("seen"), F.collect_set("theirs").alias("places"))
         .groupBy(*by, "value")
-        .agg(F.max("n").alias("agreed"), F.sum("n").alias("seen"), F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("n_places"))
+        .agg(F.max("n").alias("agreed"), F.sum("seen").alias("seen"), F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("n_places"))
         .where("n_places > 1")
         .groupBy(*by)
         .agg((F.sum("agreed") / F.sum("seen")).alias("agreement"))
