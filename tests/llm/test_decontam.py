@@ -103,3 +103,16 @@ def test_a_like_question_before_the_item_hides_nothing(spark):
     frame = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in docs], DOCS)
     got = {r.doc_id: r["items"] for r in decontam.mark_leaks(frame, spark.createDataFrame([(1, item)], BENCH), ["doc_id"]).collect()}
     assert got == {0: [1], 1: [1], 2: [1], 3: [], 4: [], 5: [1]}
+
+
+def test_items_of_placeholders_match_their_own_values_only(spark):
+    items = [(1, "Berlin"), (2, "42"), (3, "Tom has 5 apples"), (4, "12 45 78 99 10 33"), (5, "the plain words")]
+    docs = [
+        (0, "We went to Berlin. It rained"), (1, "We went to Paris with 7 bags"), (2, "the answer is 42, he said"), (3, "so Ann has 6 apples"),
+        (4, "so Tom has 5 apples"), (5, "rows 1 2 3 4 5 6 7"), (6, "rows 12 45 78 99 10 33 end"), (7, "all the plain words here"),
+    ]
+    frame = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in docs], DOCS)
+    bench = spark.createDataFrame(items, BENCH)
+    got = {r.doc_id: r["items"] for r in decontam.mark_leaks(frame, bench, ["doc_id"]).collect()}
+    assert got == {0: [1], 1: [], 2: [2], 3: [], 4: [3], 5: [], 6: [4], 7: [5]}
+    assert sorted(r.doc_id for r in decontam.drop_leaks(frame, bench).collect()) == [1, 3, 5]

@@ -47,17 +47,17 @@ def _code(word: str) -> int:
     return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
 
 
-def describe(word: str) -> tuple[int, int, int, int, int]:
+def describe(word: str) -> tuple[int, int, int, int, int, int]:
     """Codes of a word as the first of a window, inside a sentence, after a sentence end and after a
-    number; and whether it ends a sentence (1) or is a number (2)."""
+    number; whether it ends a sentence (1) or is a number (2); and the code of its value."""
     core = _EDGE.sub("", word)
     plain = _code(core.lower() or word)
     if _NUMBER.fullmatch(core):
         number = _code(NUM)
-        return number, number, number, number, 2 | bool(_END.search(word))
+        return number, number, number, number, 2 | bool(_END.search(word)), _code(core)
     name = _code(NAME) if core[:1].isupper() else plain
     unit = _code(UNIT) if core.lower() in UNITS else name
-    return name, name, plain, unit, int(bool(_END.search(word)))
+    return name, name, plain, unit, int(bool(_END.search(word))), plain
 
 
 class Codes:
@@ -68,8 +68,8 @@ class Codes:
         self.known: dict[str, tuple] = {}
 
     def of(self, words: list[str]) -> np.ndarray:
-        table = np.zeros((len(words), 5), dtype=np.uint64)
-        table[:, :4] = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))[:, None]
+        table = np.zeros((len(words), 6), dtype=np.uint64)
+        table[:, [0, 1, 2, 3, 5]] = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))[:, None]
         odd = [i for i, w in enumerate(words) if w in UNITS or not (w.islower() and w.isalpha())]
         if odd:
             if len(self.known) > KEPT:
@@ -85,9 +85,10 @@ class Codes:
         return table
 
 
-def window_codes(table: np.ndarray, size: int) -> np.ndarray:
+def window_codes(table: np.ndarray, size: int, exact: bool = False) -> np.ndarray:
     """Hash of every window of ``size`` words, given their descriptions. A window stands for itself:
-    the type of a word depends on no word before the window."""
+    the type of a word depends on no word before the window. With ``exact`` the values of the
+    placeholders count too."""
     n = len(table) - size + 1
     if n <= 0:
         return np.zeros(0, dtype=np.uint64)
@@ -97,6 +98,10 @@ def window_codes(table: np.ndarray, size: int) -> np.ndarray:
     total = table[:n, 0].copy()
     for j in range(1, size):
         total = total * np.uint64(0x100000001B3) + inside[j - 1 : j - 1 + n]
+    if exact:
+        for j in range(size):
+            total = total * np.uint64(0x100000001B3) + table[j : j + n, 5]
+        total = mix64(total) + np.uint64(WINDOW)
     return mix64(total + np.uint64(size))
 
 
@@ -118,15 +123,23 @@ def slots(window: list[str], at: int | None = None) -> list[str]:
     return out
 
 
-def _windows(rows: DataFrame, sizes: list[int], whole: bool, bits: Broadcast | None) -> DataFrame:
-    """(id columns, size, code, slots): the windows of ``rows``, whose last column is the text.
+def _tells_nothing(words: list[str]) -> bool:
+    """Whether the template of an item says too little without its values: it is shorter than a window, or
+    no window holds a word that stands for itself."""
+    return len(words) < WINDOW or all(len(slots(words[p : p + WINDOW])) == WINDOW for p in range(len(words) - WINDOW + 1))
 
-    ``whole`` is for the benchmark: an item shorter than a window is one window of its own length.
+
+def _windows(rows: DataFrame, kinds: list[tuple[int, bool]], whole: bool, bits: Broadcast | None) -> DataFrame:
+    """(id columns, size, exact, code, slots): the windows of ``rows``, whose last column is the text.
+
+    ``whole`` is for the benchmark: an item shorter than a window is one window of its own length, and the
+    windows of an item whose template tells nothing are exact, so that they meet only their own values.
+    ``kinds`` are the sizes, and whether exact, that documents are asked for.
     ``bits`` keeps only windows that may be in the benchmark. A window repeated in a text counts once;
     ``slots`` has the values of each of its places that differ (of a benchmark item, those of its first).
     """
     ids = rows.columns[:-1]
-    schema = rows.select(*ids).schema.add("size", "integer").add("code", "long")
+    schema = rows.select(*ids).schema.add("size", "integer").add("exact", "boolean").add("code", "long")
     schema = schema.add("slots", ArrayType(ArrayType(StringType())))
 
     def run(batches):
@@ -134,12 +147,13 @@ def _windows(rows: DataFrame, sizes: list[int], whole: bool, bits: Broadcast | N
         codes_of = Codes()
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            at, width, codes, values = [], [], [], []
+            at, width, strict, codes, values = [], [], [], [], []
             for i, text in enumerate(batch.column(len(ids)).to_pylist()):
                 words = (text or "").split()
                 table = codes_of.of(words)
-                for size in {min(len(words), WINDOW)} - {0} if whole else sizes:
-                    found = window_codes(table, size)
+                own_kind = [(min(len(words), WINDOW), _tells_nothing(words))] if whole and words else []
+                for size, exact in own_kind if whole else kinds:
+                    found = window_codes(table, size, exact)
                     hits = np.arange(len(found)) if filter_ is None else np.flatnonzero(_in_filter(found, filter_))
                     if not len(hits):
                         continue
@@ -151,12 +165,13 @@ def _windows(rows: DataFrame, sizes: list[int], whole: bool, bits: Broadcast | N
                     for code, given in taken.items():
                         at.append(i)
                         width.append(size)
+                        strict.append(exact)
                         codes.append(code)
                         values.append(list(given))
             own = batch.select(list(range(len(ids)))).take(pa.array(at, pa.int64()))
             return pa.RecordBatch.from_arrays(
-                [*own.columns, pa.array(width, pa.int32()), pa.array(np.array(codes, dtype=np.uint64).view(np.int64)), pa.array(values, pa.list_(pa.list_(pa.string())))],
-                names=[*ids, "size", "code", "slots"],
+                [*own.columns, pa.array(width, pa.int32()), pa.array(strict, pa.bool_()), pa.array(np.array(codes, dtype=np.uint64).view(np.int64)), pa.array(values, pa.list_(pa.list_(pa.string())))],
+                names=[*ids, "size", "exact", "code", "slots"],
             )
 
         yield from per_batch(work)(batches)
@@ -198,17 +213,18 @@ def find_leaks(
     A document holds an item if at least ``similarity`` of the item's distinct template windows (five
     words; a shorter item is one window) occur in it and the values it gives to slots that share a value in
     the item agree in at least ``consistency`` of these windows; a window that the document holds several
-    times agrees if it does at any of its places. Items without words match nothing.
+    times agrees if it does at any of its places. Of an item shorter than five words, or without any window
+    that holds a plain word, the values themselves must be the item's. Items without words match nothing.
     """
     given = benchmark.select(F.col(item).alias("item"), F.col(passage).alias("passage"))
     items = cut_lineage(_windows(given.select("item", F.xxhash64("passage").alias("nth"), "passage"), [], True, None))
-    # Window lengths: five, or less for items shorter than that; at most five values.
-    sizes = sorted(r[0] for r in items.select("size").distinct().collect())
+    # Window lengths: five, or less for items shorter than that; at most six kinds with the exact ones.
+    kinds = sorted((r[0], r[1]) for r in items.select("size", "exact").distinct().collect())
     wanted = items.groupBy("item", "nth").agg(F.count(F.lit(1)).alias("wanted"))
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("version"), F.col(text).alias("text"))
-    found = _windows(rows, sizes, False, docs.sparkSession.sparkContext.broadcast(_filter(items)))
-    theirs = items.select("item", "nth", "size", "code", F.col("slots")[0].alias("theirs"))
-    pairs = cut_lineage(found.join(theirs, ["size", "code"]))
+    found = _windows(rows, kinds, False, docs.sparkSession.sparkContext.broadcast(_filter(items)))
+    theirs = items.select("item", "nth", "size", "exact", "code", F.col("slots")[0].alias("theirs"))
+    pairs = cut_lineage(found.join(theirs, ["size", "exact", "code"]))
     by = ["key", "version", "item", "nth"]
     counts = pairs.groupBy(*by).agg(F.count(F.lit(1)).alias("found"))
     held = cut_lineage(
