@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidewright.llm import decontam, lloyd, mixing, pages, quality, repeats, runs, secrets, simhash, tokens, toxicity, vectors
+from tidewright.llm import decontam, lloyd, lm, mixing, pages, quality, repeats, runs, secrets, simhash, tokens, toxicity, vectors
 from tidewright.llm.common import table
 
 
@@ -107,6 +107,10 @@ FROM near JOIN named USING (cluster)
 """
 
 
+def op12_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(table(spark, sf_dir, "documents"))
+
+
 def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = runs.periodic_runs(_with_planted_period(table(spark, sf_dir, "documents")))
     line = lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n"))
@@ -132,6 +136,6 @@ def _with_planted_period(docs: DataFrame) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mixing, op2_repeats, op3_toxicity, op4_tokens, op5_secrets, op6_pages, op7_vectors, op8_decontamination, op9_simhash, op10_quality, op11_clusters, op13_runs)
+    f.__name__: f for f in (op1_mixing, op2_repeats, op3_toxicity, op4_tokens, op5_secrets, op6_pages, op7_vectors, op8_decontamination, op9_simhash, op10_quality, op11_clusters, op12_scores, op13_runs)
 } | {"pipeline": corpus_pipeline.run}
 SQL: dict[str, str] = {"op11_clusters": OP11_SQL} | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
