@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -106,3 +107,35 @@ def test_fit_ends_at_the_optimum():
     wide = np.column_stack([np.ones(400), earlier, x])
     slope = wide.T @ (1 / (1 + np.exp(-wide @ w)) - y) + 0.3 * np.concatenate([[0.0], w[1:]])
     assert np.abs(slope).max() <= toxicity.SLOPE + 1e-6
+
+
+def test_folds_start_elsewhere_and_end_alike():
+    """A fold's fit from the weights of all rows ends where one from nothing does."""
+    draw = np.random.default_rng(6)
+    rows, cols = np.nonzero(draw.random((500, 80)) < 0.1)
+    y = (draw.random(500) < 0.3).astype(float)
+    hits, earlier = toxicity.Hits(rows, cols, 500, 80), draw.random((500, 1))
+    every, inside = np.ones(500), (np.arange(500) % 5 != 2).astype(float)
+    full = toxicity.fit_hits(hits, earlier, y, every)
+    one, two = (toxicity.fit_hits(hits, earlier, y, inside, start) for start in (None, full))
+    kept = inside.astype(bool)
+    place = np.cumsum(kept) - 1
+    alone = toxicity.fit_linear(place[rows[kept[rows]]], cols[kept[rows]], 80, earlier[kept], y[kept])
+    assert np.abs(one - two).max() < 0.02 and np.abs(one - alone).max() < 0.02
+
+
+def test_a_chain_at_the_bound_of_its_sample():
+    """20,000 documents and thousands of words: the seven fits, one after the other, end within a minute."""
+    draw = np.random.default_rng(7)
+    n, words = toxicity.TRAIN_ROWS, 7500
+    rows = np.repeat(np.arange(n), 150)
+    cols = np.minimum((draw.pareto(0.6, len(rows)) * 20).astype(np.int64), words - 1)
+    rows, cols = np.unique(np.column_stack([rows, cols]), axis=0).T
+    score = np.bincount(rows, draw.normal(size=words)[cols], n)
+    y = np.column_stack([score + draw.normal(size=n) > c for c in (2.0, 4.0)]).astype(float)
+    began = time.perf_counter()
+    chain = toxicity.fit_chain(rows, cols, y, ["a", "b"], {str(i): i for i in range(words)}, np.arange(n) % toxicity.FOLDS)
+    assert time.perf_counter() - began < 60
+    earlier = np.zeros((n, 0))
+    p = toxicity._probability(chain.weights[0], rows, cols, earlier)
+    assert np.mean((p > 0.5) == y[:, 0]) > 0.9

@@ -8,13 +8,13 @@ model never sees a probability that was fitted on its own row.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401 - pa.compute
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
@@ -31,8 +31,8 @@ LEAST_SURPRISE = 4.0
 # Inflected words share their first letters.
 STEMS = (4, 5)
 FOLDS = 5
-# Largest slope of the loss, in documents, at which a fit has ended.
-SLOPE = 0.01
+# Largest slope of the loss, in documents, at which a fit has ended; with more rows than these it grows as they do.
+SLOPE, SLOPE_ROWS = 0.01, 4000
 THRESHOLD = 0.5
 # Label columns in the order of the chain, with the value that marks the category.
 CHAIN = (("junk", "quality", 0), ("toxic", "toxic", 1))
@@ -81,38 +81,82 @@ def _probability(w: np.ndarray, rows: np.ndarray, cols: np.ndarray, earlier: np.
     return 1 / (1 + np.exp(-_logits(w, rows, cols, earlier)))
 
 
+def _places(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order by key, the keys that occur, and where each one's stretch begins."""
+    order = np.argsort(keys, kind="stable")
+    present, begins = np.unique(keys[order], return_index=True)
+    return order, present, begins
+
+
+class Hits:
+    """Which document has which word, laid out by document and by word, so that sums run along memory."""
+
+    def __init__(self, rows: np.ndarray, cols: np.ndarray, n: int, n_words: int):
+        self.n, self.n_words = n, n_words
+        order, self.rows, self.row_begins = _places(rows)
+        self.by_row = cols[order].astype(np.int32)
+        order, self.cols, self.col_begins = _places(cols)
+        self.by_col = rows[order].astype(np.int32)
+
+    def of_rows(self, w: np.ndarray) -> np.ndarray:
+        """Per document the sum over its words."""
+        out = np.zeros(self.n)
+        if len(self.rows):
+            out[self.rows] = np.add.reduceat(w[self.by_row], self.row_begins)
+        return out
+
+    def of_words(self, r: np.ndarray) -> np.ndarray:
+        """Per word the sum over its documents."""
+        out = np.zeros(self.n_words)
+        if len(self.cols):
+            out[self.cols] = np.add.reduceat(r[self.by_col], self.col_begins)
+        return out
+
+
 def fit_linear(
     rows: np.ndarray, cols: np.ndarray, n_words: int, earlier: np.ndarray, y: np.ndarray, ridge: float = 0.3, steps: int = 50
 ) -> np.ndarray:
-    """Logistic regression with a ridge on all but the bias, by Newton steps: each is solved by conjugate
-    gradients scaled per weight, no further than its slope asks for, and halved while the loss does not
-    fall. The fit ends where no slope is above ``SLOPE``, long before ``steps``."""
-    n, k = earlier.shape
-    penalty = np.concatenate([[1e-9], np.full(k + n_words, ridge)])
+    """`fit_hits` on documents and words given as pairs."""
+    return fit_hits(Hits(rows, cols, len(y), n_words), earlier, y, np.ones(len(y)), None, ridge, steps)
+
+
+def fit_hits(
+    hits: Hits, earlier: np.ndarray, y: np.ndarray, inside: np.ndarray, start: np.ndarray | None = None, ridge: float = 0.3, steps: int = 50
+) -> np.ndarray:
+    """Logistic regression on the documents ``inside`` (1, else 0) with a ridge on all but the bias, by Newton steps:
+    each is solved by conjugate gradients scaled per weight, no further than its slope asks for, and halved while
+    the loss does not fall. The fit ends where no slope is above ``SLOPE``, long before ``steps``. It may start from
+    the weights of another fit; words that no document inside has start from none."""
+    k = earlier.shape[1]
+    penalty = np.concatenate([[1e-9], np.full(k + hits.n_words, ridge)])
+    enough_slope = SLOPE * max(1.0, inside.sum() / SLOPE_ROWS)
 
     def backward(r: np.ndarray, x: np.ndarray) -> np.ndarray:
-        return np.concatenate([[r.sum()], x.T @ r, np.bincount(cols, r[rows], n_words)])
+        return np.concatenate([[r.sum()], x.T @ r, hits.of_words(r)])
 
     def forward(w: np.ndarray) -> np.ndarray:
-        return w[0] + earlier @ w[1 : 1 + k] + np.bincount(rows, w[1 + k + cols], n)
+        return w[0] + earlier @ w[1 : 1 + k] + hits.of_rows(w[1 + k :])
 
     def loss(z: np.ndarray, w: np.ndarray) -> float:
-        return float((np.logaddexp(0, z) - y * z).sum() + (penalty * w * w).sum() / 2)
+        return float((inside * (np.logaddexp(0, z) - y * z)).sum() + (penalty * w * w).sum() / 2)
 
-    w = np.zeros(1 + k + n_words)
+    w = np.zeros(1 + k + hits.n_words)
+    if start is not None:
+        w = start.copy()
+        w[1 + k :][hits.of_words(inside) == 0] = 0
     z = forward(w)
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        gradient = backward(p - y, earlier) + penalty * w
+        gradient = backward(inside * (p - y), earlier) + penalty * w
         slope = np.abs(gradient).max()
-        if slope <= SLOPE:
+        if slope <= enough_slope:
             break
-        bend = p * (1 - p)
+        bend = inside * p * (1 - p)
         scale = 1 / (backward(bend, earlier * earlier) + penalty)
         way, left = np.zeros_like(w), -gradient
         ahead = scale * left
         size = left @ ahead
-        enough = min(0.25, np.sqrt(slope / n)) * np.sqrt(size)
+        enough = min(0.25, np.sqrt(slope / hits.n)) * np.sqrt(size)
         for _ in range(len(w)):
             bent = backward(bend * forward(ahead), earlier) + penalty * ahead
             far = size / (ahead @ bent)
@@ -128,33 +172,65 @@ def fit_linear(
     return w
 
 
+# Runs a function on every item, wherever it likes, and gives the results in order.
+Runner = Callable[[Callable[[int], np.ndarray], Iterable[int]], list[np.ndarray]]
+
+
 def fit_chain(
-    rows: np.ndarray, cols: np.ndarray, y: np.ndarray, names: Sequence[str], vocabulary: dict[str, int], fold: np.ndarray
+    rows: np.ndarray, cols: np.ndarray, y: np.ndarray, names: Sequence[str], vocabulary: dict[str, int], fold: np.ndarray,
+    run: Runner = lambda fit, items: [fit(i) for i in items], share: Callable = lambda value: lambda: value,
 ) -> Chain:
-    """``rows`` and ``cols`` say which document has which word of the vocabulary."""
+    """``rows`` and ``cols`` say which document has which word of the vocabulary. ``run`` makes the fits, those of
+    the folds side by side, and ``share`` hands it what all of them need."""
+    hits = share(Hits(rows, cols, len(y), len(vocabulary)))
     earlier, weights = np.zeros((len(y), 0)), []
     for c in range(y.shape[1]):
-        weights.append(fit_linear(rows, cols, len(vocabulary), earlier, y[:, c]))
+        told, before = y[:, c], earlier
+
+        def full(_: int, told=told, before=before) -> np.ndarray:
+            return fit_hits(hits(), before, told, np.ones(len(told)))
+
+        weights += run(full, [0])
         if c + 1 == y.shape[1]:
             break
+
+        def without(f: int, told=told, before=before, start=weights[-1]) -> np.ndarray:
+            return fit_hits(hits(), before, told, (fold != f).astype(float), start)
+
         unseen = np.zeros(len(y))
-        for f in range(FOLDS):
-            inside = fold != f
-            new_row = np.cumsum(inside) - 1
-            own = inside[rows]
-            w = fit_linear(new_row[rows[own]], cols[own], len(vocabulary), earlier[inside], y[inside, c])
-            unseen[~inside] = _probability(w, rows, cols, earlier)[~inside]
+        for f, w in enumerate(run(without, range(FOLDS))):
+            unseen[fold == f] = _probability(w, rows, cols, earlier)[fold == f]
         earlier = np.column_stack([earlier, unseen])
     return Chain(tuple(names), vocabulary, tuple(weights))
 
 
+def _on_executors(spark: SparkSession) -> tuple[Runner, Callable]:
+    """Every fit is a task of its own; the hits, bounded by the training sample, are broadcast once."""
+
+    def run(fit: Callable[[int], np.ndarray], items: Iterable[int]) -> list[np.ndarray]:
+        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+            fitted = [fit(i) for i in batch.column(0).to_pylist()]
+            return pa.RecordBatch.from_arrays([batch.column(0), pa.array([w.tobytes() for w in fitted], pa.binary())], names=["id", "weights"])
+
+        n = len(items)
+        fitted = spark.range(0, n, 1, n).mapInArrow(per_batch(work), "id long, weights binary").orderBy("id").toArrow()
+        return [np.frombuffer(w) for w in fitted.column(1).to_pylist()]
+
+    def share(hits: Hits):
+        held = spark.sparkContext.broadcast(hits)
+        return lambda: held.value
+
+    return run, share
+
+
 def train(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", chain=CHAIN, rows: int = TRAIN_ROWS
 ) -> Chain:
     """The chain fitted on at most ``rows`` labelled documents.
 
     The vocabulary has all words and stems that tell any of the categories, counted over the sample by Spark.
-    What reaches the driver is bounded by the sample of ``rows``: the words, and each document's hits.
+    What reaches the driver is bounded by the sample of ``rows``: the words, and each document's hits. The fits run on
+    the executors.
     """
     names = [name for name, _, _ in chain]
     marks = [(F.col(column) == value).cast("int").alias(name) for name, column, value in chain]
@@ -198,7 +274,7 @@ def train(
     y = np.column_stack([hits.column(c).to_numpy().astype(float) for c in names])
     lists = hits.column("_hits").combine_chunks()
     at = np.repeat(np.arange(len(y)), pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64))
-    return fit_chain(at, lists.flatten().to_numpy().astype(np.int64), y, names, vocabulary, np.arange(len(y)) % FOLDS)
+    return fit_chain(at, lists.flatten().to_numpy().astype(np.int64), y, names, vocabulary, np.arange(len(y)) % FOLDS, *_on_executors(docs.sparkSession))
 
 
 def score(docs: DataFrame, model: Chain, text: str, keep: Sequence[str], prefix: str = "p_") -> DataFrame:
