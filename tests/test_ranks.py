@@ -109,3 +109,51 @@ def test_window_filter_reaches_the_scan(spark):
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(ts" in plan and "LessThan(ts" in plan
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz>" in plan
+
+
+@pytest.mark.parametrize("slab_rows", [7, 10_000])
+def test_running_scans(spark, monkeypatch, slab_rows):
+    monkeypatch.setattr(ranks, "SLAB_ROWS", slab_rows)
+    rng = random.Random(3)
+    data = [(i, rng.randrange(50), rng.random()) for i in range(300)]
+    df = spark.createDataFrame(data, "i long, w long, x double").repartition(5)
+    sums = {r["i"]: r["s"] for r in ranks.running(df, ["i"], "w", "s").collect()}
+    lows = {r["i"]: r["m"] for r in ranks.running(df, [F.desc("i")], "x", "m", kind="min").collect()}
+    assert sums == {i: sum(w for j, w, _ in data if j <= i) for i, _, _ in data}
+    assert lows == {i: min(x for j, _, x in data if j >= i) for i, _, _ in data}
+
+
+def test_scans_shuffle_rows_once_and_need_no_window(spark):
+    df = spark.range(1000).withColumn("n", F.lit(1))
+    plan = ranks.running(df, ["id"], "n", "s")._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "SinglePartition" not in plan and "hashpartitioning" not in plan
+
+
+def test_quantiles_need_no_order(spark, skewed):
+    plan = ranks.exact_quantiles(skewed[0], "v", {"q": 0.5}, ["g"])._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "SinglePartition" not in plan
+
+
+@pytest.mark.parametrize("name, value", [("BRACKET", 3), ("ACCURACY", 2)])
+def test_quantiles_where_brackets_are_wide(spark, monkeypatch, name, value):
+    """Brackets with more values than a task takes, and a sketch as coarse as can be."""
+    monkeypatch.setattr(ranks, name, value)
+    rng = random.Random(5)
+    data = [(f"g{i % 3}", rng.choice([1.0, rng.random(), -rng.random() * 9])) for i in range(900)] + [(None, 4.0), ("g0", None)]
+    df = spark.createDataFrame(data, "g string, v double").repartition(4)
+    probs = {"q0": 0.0, "q10": 0.1, "q50": 0.5, "q100": 1.0}
+    got = {r["g"]: r for r in ranks.exact_quantiles(df, "v", probs, ["g"]).collect()}
+    for g in ("g0", "g1", "g2", None):
+        values = [v for h, v in data if h == g and v is not None]
+        assert got[g]["n_values"] == len(values)
+        for q, p in probs.items():
+            assert got[g][q] == pytest.approx(np.quantile(values, p))
+    whole = ranks.exact_quantiles(df, "v", probs).first()
+    assert whole["q10"] == pytest.approx(np.quantile([v for _, v in data if v is not None], 0.1))
+    assert ranks.exact_quantiles(df.limit(0), "v", probs, ["g"]).count() == 0
+
+
+def test_quantiles_fall_back_when_the_sketch_misses(spark, monkeypatch):
+    monkeypatch.setattr(F, "percentile_approx", lambda *_: F.array(*[F.lit(2.0)] * 2))
+    df = spark.createDataFrame([(float(v),) for v in (1, 2, 3, 4, 9)], "v double")
+    assert ranks.exact_quantiles(df, "v", {"q": 0.75}).first()["q"] == 4.0

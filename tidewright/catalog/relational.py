@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DoubleType,
@@ -20,6 +20,7 @@ from tidewright.catalog.sqltext import cohort_case, pillar_case, rule_case
 from tidewright.functions import rates, rules, text, times
 from tidewright.operators import frames, integrity, snapshots, summaries
 from tidewright.operators.ingest import missing_transcripts, with_lookup
+from tidewright.operators.ranks import prefix_sum
 from tidewright.operators.snapshots import in_window
 from tidewright.sources.tables import sql_scan
 
@@ -343,10 +344,8 @@ def w2(t: Tables) -> DataFrame:
 )
 def w3(t: Tables) -> DataFrame:
     counts = t.table("events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
-    running = Window.orderBy(F.desc("n"), "event_type").rowsBetween(Window.unboundedPreceding, 0)
-    return counts.withColumns(
-        {"running": F.sum("n").over(running), "total": F.sum("n").over(Window.partitionBy())}
-    )
+    summed = prefix_sum(counts, [F.desc("n"), "event_type"], "n")
+    return summed.select("event_type", "n", (F.col("before") + F.col("n")).alias("running"), "total")
 
 
 # ---- text

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.functions.distributions import chi2_p, f_p, two_sided_p
 from tidewright.operators.hotkeys import attach_counted, attach_measured
-from tidewright.operators.ranks import average_ranks, clean_numbers, exact_quantiles
+from tidewright.operators.ranks import average_ranks, clean_numbers, exact_quantiles, row_numbers, running
 from tidewright.schemas import ALPHA
 from tidewright.session import cut_lineage
 
@@ -92,13 +92,12 @@ def dunn(df: DataFrame, value: str, by: str) -> DataFrame:
     its later partners and fetches them by an equality join.
     """
     groups, overall = rank_sums(df, value, by)
-    place = Window.orderBy(by)  # over one row per group
-    means = groups.select(
-        F.col(by), F.col("n"), (F.col("rank_sum") / F.col("n")).alias("mean_rank")
-    ).withColumns({"i": F.row_number().over(place), "k": F.count(F.lit(1)).over(Window.partitionBy())})
+    means = row_numbers(
+        groups.select(F.col(by), F.col("n"), (F.col("rank_sum") / F.col("n")).alias("mean_rank")), [by], name="i"
+    ).withColumnRenamed("total", "k")
     left = means.where(F.col("i") < F.col("k")).select(
         F.col(by).alias("group_a"), F.col("n").alias("n_a"), F.col("mean_rank").alias("rank_a"),
-        F.explode(F.sequence(F.col("i") + 1, F.col("k").cast("int"))).alias("partner"),
+        F.explode(F.sequence(F.col("i") + 1, F.col("k"))).alias("partner"),
     )
     right = means.select(
         F.col("i").alias("partner"), F.col(by).alias("group_b"), F.col("n").alias("n_b"),
@@ -118,18 +117,14 @@ def dunn(df: DataFrame, value: str, by: str) -> DataFrame:
 
 
 def adjust_fdr(df: DataFrame, p: str, name: str) -> DataFrame:
-    """Benjamini-Hochberg: running minimum of p*m/rank from the largest p down, at most 1.
-
-    For test results (one row per comparison), not for data."""
-    m = F.count(p).over(Window.partitionBy())
-    rank = F.row_number().over(Window.orderBy(F.col(p)))
-    downward = Window.orderBy(F.desc("_rank")).rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        df.withColumns({"_m": m, "_rank": rank})
-        .withColumn("_raw", F.col(p) * F.col("_m") / F.col("_rank"))
-        .withColumn(name, F.least(F.min("_raw").over(downward), F.lit(1.0)))
-        .drop("_m", "_rank", "_raw")
-    )
+    """Benjamini-Hochberg: running minimum of p*m/rank from the largest p down, at most 1; null where p is.
+
+    Ranks and minima are scans over slabs, so the comparisons may be as many as the pairs of any number of groups."""
+    known = row_numbers(df.where(F.col(p).isNotNull()), [p], name="_rank")
+    raw = known.withColumn("_raw", F.col(p) * F.col("total") / F.col("_rank"))
+    least = running(raw, [F.desc("_rank")], "_raw", "_least", kind="min")
+    adjusted = least.withColumn(name, F.least("_least", F.lit(1.0))).drop("_rank", "total", "_raw", "_least")
+    return adjusted.unionByName(df.where(F.col(p).isNull()).withColumn(name, F.lit(None).cast("double")))
 
 
 def same_level_pairs(pairs: DataFrame, alpha: float = ALPHA) -> DataFrame:

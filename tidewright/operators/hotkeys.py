@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.session import cut_lineage
@@ -38,3 +41,8 @@ def attach_measured(left: DataFrame, right: DataFrame, keys: list[str]) -> DataF
     by shuffle, where the runtime plan splits a skewed group.
     """
     return left.join(cut_lineage(right), keys, "inner")
+
+
+def same_keys(keys: Sequence[str], prefix: str = "_by_") -> Column:
+    """Join condition between the columns ``keys`` and their renamed copies; nulls match."""
+    return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"{prefix}{c}")) for c in keys])

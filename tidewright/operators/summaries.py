@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.operators.hotkeys import attach_measured
-from tidewright.operators.ranks import clean_numbers, exact_quantiles, quantiles_of, value_histogram
+from tidewright.operators.ranks import clean_numbers, exact_quantiles, prefix_sum
 
 
 def value_counts(df: DataFrame, column: str, counted: str | None = None) -> DataFrame:
@@ -26,16 +26,11 @@ def class_share(df: DataFrame, key: str, column: str, wanted: str, name: str) ->
 def leading_values(df: DataFrame, column: str, percent: int = 90) -> DataFrame:
     """Most frequent values while their running share stays at or below ``percent``.
 
-    The windows run over the counted result (one row per distinct value), not over the data. Ties
-    in frequency are taken in value order.
+    Ties in frequency are taken in value order. The running share is a scan over slabs, so distinct values may be many.
     """
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    running = Window.orderBy(F.desc("n"), column).rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        counts.withColumn("cum_n", F.sum("n").over(running))
-        .withColumn("total", F.sum("n").over(Window.partitionBy()))
-        .where(F.col("cum_n") * 100 <= F.col("total") * percent)
-    )
+    summed = prefix_sum(counts, [F.desc("n"), column], "n").withColumn("cum_n", F.col("before") + F.col("n"))
+    return summed.where(F.col("cum_n") * 100 <= F.col("total") * percent).select(column, "n", "cum_n", "total")
 
 
 def group_median(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
@@ -43,15 +38,6 @@ def group_median(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     return exact_quantiles(df, value, {"median": 0.5}, by)
 
 
-def group_median_approx(df: DataFrame, value: str, by: Sequence[str], accuracy: int = 10_000) -> DataFrame:
-    """Sketch-based median for very large groups, in a single aggregation."""
-    return (
-        clean_numbers(df, value)
-        .groupBy(*by)
-        .agg(F.percentile_approx(value, 0.5, accuracy).alias("median"))
-    )
-
-
 def group_mode(df: DataFrame, column: str, by: Sequence[str]) -> DataFrame:
     """Most frequent non-null value per group, the lowest one on ties."""
     counts = (
@@ -121,35 +107,32 @@ def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
     )
 
 
-def _fences(hist: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
+def _fenced(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
+    """The numbers of every group with its quartiles and fences."""
+    quartiles = exact_quantiles(df, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by)
     reach = 1.5 * (F.col("q3") - F.col("q1"))
-    return quantiles_of(hist, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by).withColumns(
-        {"low_fence": F.col("q1") - reach, "high_fence": F.col("q3") + reach}
-    )
+    fences = quartiles.withColumns({"low_fence": F.col("q1") - reach, "high_fence": F.col("q3") + reach})
+    return attach_measured(clean_numbers(df, value).select(*by, value), fences, list(by))
 
 
 def box_stats(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     """Quartiles, whiskers (most extreme values inside the fences) and outlier count per group."""
-    hist = value_histogram(df, value, by)
-    joined = attach_measured(hist, _fences(hist, value, by), list(by))
     inside = F.col(value).between(F.col("low_fence"), F.col("high_fence"))
-    return joined.groupBy(*by).agg(
-        F.first("n_values").alias("n"),
-        F.first("q1").alias("q1"),
-        F.first("median").alias("median"),
-        F.first("q3").alias("q3"),
+    return _fenced(df, value, by).groupBy(*by).agg(
+        F.max("n_values").alias("n"),
+        F.max("q1").alias("q1"),
+        F.max("median").alias("median"),
+        F.max("q3").alias("q3"),
         F.min(F.when(inside, F.col(value))).alias("whisker_low"),
         F.max(F.when(inside, F.col(value))).alias("whisker_high"),
-        F.sum(F.when(inside, F.lit(0)).otherwise(F.col("n"))).alias("n_outliers"),
+        F.count_if(~inside).alias("n_outliers"),
     )
 
 
 def box_outliers(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     """Values outside the fences with their multiplicity."""
-    hist = value_histogram(df, value, by)
-    joined = attach_measured(hist, _fences(hist, value, by), list(by))
     outside = (F.col(value) < F.col("low_fence")) | (F.col(value) > F.col("high_fence"))
-    return joined.where(outside).select(*by, value, "n")
+    return _fenced(df, value, by).where(outside).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
 
 
 def density(df: DataFrame, value: str, by: Sequence[str], grid: int = 100, cut: float = 2.0) -> DataFrame:
