@@ -201,14 +201,17 @@ def test_landing_keeps_the_registry_and_prunes_payloads(spark):
         land_run(spark, batches, "tape", first, as_of)
 
 
-def test_versioned_table_replays(spark):
-    table = tables.VersionedTable(spark, fresh_path(spark, "versioned"), STATS)
-    assert table.read().count() == 0
-    table.write(stats_rows(spark, ("a", "2024-01-01", 1)), 0)
-    table.write(stats_rows(spark, ("a", "2024-01-01", 1), ("b", "2024-01-01", 1)), 3)
-    table.write(stats_rows(spark, ("c", "2024-01-01", 1)), 3)
-    assert table.current_version() == 3 and table.current_version(below=3) == 0
-    assert [r["video_id"] for r in table.read().collect()] == ["c"]
+def test_upsert_plan_carries_no_text_through_an_aggregate(spark):
+    one = spark.createDataFrame([], SNIPPETS)
+    plan = ingest.upserted(one, one.withColumn("position", F.lit(1)), "video_id", ingest.SNIPPET_OVERWRITE)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
+def test_upsert_keeps_null_keys_and_ties(spark, rows):
+    data = [(None, "f1", "l1", 5), ("a", "f2", "l2", 7), ("a", "f2", "l2", 7), ("a", "f3", "l3", 7), (None, "f4", "l4", 6), ("b", "f5", "l5", None)]
+    df = spark.createDataFrame(data, "k string, f string, l string, at long")
+    got = ingest.upserted(None, df, "k", ["l"], ["at"])
+    assert rows(got) == sorted([(None, "f1", "l4"), ("a", "f2", "l3"), ("b", "f5", "l5")], key=repr)
 
 
 def test_integrity(spark, rows):

@@ -3,9 +3,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tidewright.schemas import SNIPPETS, STATS
+from tidewright.schemas import STATS
 from tidewright.session import fresh_path
-from tidewright.sources.tables import VersionedTable
 from tidewright.streaming import ingest as streams
 
 
@@ -78,10 +77,25 @@ def test_upsert_stream_equals_one_run(spark, registry, rows):
     other = fresh_path(spark, "in")
     land(spark, other, "x", first, second)
     streams.stream_snippets(spark, other, registry, at_once, fresh_path(spark, "marks")).awaitTermination()
-    one, two = (VersionedTable(spark, p, SNIPPETS) for p in (stepwise, at_once))
-    assert one.current_version() == 1 and two.current_version() == 0
-    assert rows(one.read()) == rows(two.read())
-    assert rows(one.read(), "video_id", "video_format", "title") == [("a", "Short", "new"), ("b", "Unknown", "only")]
+    one, two = (streams.read_upserted(spark, p) for p in (stepwise, at_once))
+    assert rows(one) == rows(two)
+    assert rows(one, "video_id", "video_format", "title") == [("a", "Short", "new"), ("b", "Unknown", "only")]
+
+
+def test_an_upsert_replays_and_leaves_earlier_batches_alone(spark, registry, rows):
+    folder, path = fresh_path(spark, "in"), fresh_path(spark, "table")
+    batches = [("2024-01-02T00:00:00Z", {"items": [video("a", "old", 1), video("c", "stays", 1)]}), ("2024-01-03T00:00:00Z", {"items": [video("a", "new", 1)]})]
+    for i, batch in enumerate(batches):
+        land(spark, f"{folder}/{i}", "x", batch)
+    want = [("a", "new"), ("c", "stays")]
+    for _ in range(2):
+        # A lost checkpoint runs both batch numbers again.
+        marks = fresh_path(spark, "marks")
+        for i in range(2):
+            streams.stream_snippets(spark, f"{folder}/[0-{i}]", registry, path, marks).awaitTermination()
+        assert rows(streams.read_upserted(spark, path), "video_id", "title") == want
+    stored = spark.read.parquet(path)
+    assert rows(stored.select("batch_id", "video_id")) == [(0, "a"), (0, "c"), (1, "a")]
 
 
 def test_stages_run_in_order():

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType, TimestampNTZType, TimestampType
 
@@ -156,35 +156,38 @@ def admitted(
 
 
 def upserted(
-    existing: DataFrame,
+    existing: DataFrame | None,
     incoming: DataFrame,
     key: str,
     overwrite: Sequence[str],
     order: Sequence[str] = ("scraped_at", "position"),
 ) -> DataFrame:
-    """Merge of metadata rows: ``overwrite`` columns come from the last write of a key, all others
-    from its first write.
+    """Merge of metadata rows: ``overwrite`` columns come from the last write of a key, all others from its first.
 
-    Existing rows precede incoming ones; incoming rows apply in ``order``. One aggregation with
-    map-side combine, so a key that is rewritten very often still sends one row per task.
+    Existing rows precede incoming ones; incoming rows apply in ``order``, a timestamp or whole number and perhaps
+    a second whole number. The order is one number per row, so a hash aggregation of fixed width, combined map-side,
+    finds the first and last write of a key; then only these rows are fetched, by key and order together, so that a
+    key that is rewritten very often is spread too. Of writes that share their place the least row goes first.
     """
-    columns = [c for c in existing.columns]
+    columns = [c for c in (incoming.columns if existing is None else existing.columns) if c not in order or c in overwrite]
     first = [c for c in columns if c != key and c not in overwrite]
-    last = [c for c in columns if c in overwrite]
-
-    def ranked(df: DataFrame, generation: int, order_columns: list[Column]) -> DataFrame:
-        return df.select(
-            *columns, F.struct(F.lit(generation).alias("generation"), *order_columns).alias("_seq")
-        )
-
     kinds = {f.name: f.dataType for f in incoming.schema.fields}
-    old = ranked(existing, 0, [F.lit(None).cast(kinds[c]).alias(c) for c in order])
-    new = ranked(incoming, 1, [F.col(c) for c in order])
-    merged = old.unionByName(new).groupBy(key).agg(
-        F.min_by(F.struct(*first), "_seq").alias("_first"),
-        F.max_by(F.struct(*last), "_seq").alias("_last"),
-    )
-    return merged.select(key, "_first.*", "_last.*").select(*columns)
+
+    def number(c: str) -> Column:
+        timed = isinstance(kinds[c], (TimestampType, TimestampNTZType))
+        return (F.unix_micros(F.col(c).cast("timestamp")) if timed else F.col(c)).cast("decimal(18,0)")
+
+    place = [F.coalesce(number(c), F.lit(0).cast("decimal(18,0)")) for c in order] + [F.lit(0).cast("decimal(18,0)")]
+    rows = incoming.select(*columns, (place[0] * F.lit(str(10**19)).cast("decimal(20,0)") + place[1]).cast("decimal(38,0)").alias("_seq"))
+    if existing is not None:
+        rows = existing.select(*columns, F.lit(str(-(10**37))).cast("decimal(38,0)").alias("_seq")).unionByName(rows)
+    ends = rows.groupBy(F.col(key).alias("_key")).agg(F.min("_seq").alias("_first"), F.max("_seq").alias("_last"))
+    wanted = ends.select("_key", F.explode(F.array_distinct(F.array("_first", "_last"))).alias("_at"))
+    met = rows.join(wanted, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_seq") == F.col("_at"))).drop("_key", "_at")
+    along = Window.partitionBy(key).orderBy("_seq", *[c for c in columns if c != key])
+    upto = along.rowsBetween(Window.unboundedPreceding, 0)
+    merged = met.withColumns({f"_first_{c}": F.first(c).over(upto) for c in first} | {"_next": F.lead(F.lit(1)).over(along)})
+    return merged.where("_next IS NULL").select(*[F.col(f"_first_{c}").alias(c) if c in first else F.col(c) for c in columns])
 
 
 # Columns of the metadata table that follow the last write.

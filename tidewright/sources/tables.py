@@ -1,4 +1,4 @@
-"""Tables: SQL scans, append with key checks, and versioned directories for rewrites."""
+"""Tables: SQL scans, and append with key checks."""
 
 from __future__ import annotations
 
@@ -55,37 +55,3 @@ def append_records(
     rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(path)
     return AppendResult(seen.get["n"], conflicts)
 
-
-class VersionedTable:
-    """A table that is rewritten as a whole: every version is its own directory, and the highest
-    version whose write finished is the current one. Rewriting a version replaces it, so a retried
-    batch leaves no trace."""
-
-    def __init__(self, spark: SparkSession, path: str, schema: StructType):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-
-    def _dir(self, version: int) -> str:
-        return f"{self.path}/version={version}"
-
-    def _done(self) -> DataFrame:
-        schema = StructType().add("version", "long")
-        return read_table(self.spark, f"{self.path}/_done", schema)
-
-    def current_version(self, below: int | None = None) -> int | None:
-        done = self._done()
-        if below is not None:
-            done = done.where(F.col("version") < below)
-        return done.agg(F.max("version")).first()[0]
-
-    def read(self, version: int | None = None) -> DataFrame:
-        if version is None:
-            version = self.current_version()
-        if version is None:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self._dir(version))
-
-    def write(self, df: DataFrame, version: int) -> None:
-        df.select(*self.schema.fieldNames()).write.mode("overwrite").parquet(self._dir(version))
-        self.spark.range(version, version + 1, numPartitions=1).toDF("version").write.mode(
-            "append"
-        ).parquet(f"{self.path}/_done")

@@ -11,16 +11,17 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tidewright.operators.ingest import (
+    SNIPPET_OVERWRITE,
     flatten_comments,
     flatten_snippets,
     flatten_stats,
-    upsert_snippets,
+    upserted,
 )
 from tidewright.schemas import RAW_COMMENTS, RAW_VIDEOS, SNIPPETS
-from tidewright.sources.tables import VersionedTable, read_table
+from tidewright.sources.tables import read_table
 
 BATCH = "batch_id"
 
@@ -47,7 +48,7 @@ def _append(df: DataFrame, out: str, checkpoint: str, key: Sequence[str] | None)
             return
         batch = batch.persist()
         try:
-            landed = read_table(batch.sparkSession, out, df.schema.add(BATCH, "long"))
+            landed = read_table(batch.sparkSession, out, StructType([*df.schema.fields, StructField(BATCH, LongType())]))
             earlier = landed.where(F.col(BATCH) < batch_id).drop(BATCH)
             unseen_snapshots(batch, earlier, key).write.mode("overwrite").parquet(target)
         finally:
@@ -121,18 +122,16 @@ def stream_snippets(
     checkpoint: str,
     files_per_batch: int = 1000,
 ) -> StreamingQuery:
-    """Upsert metadata rows batch by batch into a versioned table.
+    """Upsert metadata rows batch by batch; read the table with `read_upserted`.
 
-    The version is the batch id and builds on the last finished lower version, so a batch that is
-    replayed after a failure replaces its own output.
+    A batch leaves one row per key it holds, with the key's first and last write in the batch, in a folder of its
+    own, which a replay overwrites. Nothing that earlier batches left is read or written again.
     """
     rows = flatten_snippets(landing_stream(spark, folder, RAW_VIDEOS, files_per_batch), registry)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        table = VersionedTable(batch.sparkSession, table_path, SNIPPETS)
-        below = table.current_version(below=batch_id)
-        existing = batch.sparkSession.createDataFrame([], SNIPPETS) if below is None else table.read(below)
-        table.write(upsert_snippets(existing, batch), batch_id)
+        once = upserted(None, batch.select(*SNIPPETS.fieldNames(), "position"), "video_id", SNIPPET_OVERWRITE)
+        once.select(*SNIPPETS.fieldNames()).write.mode("overwrite").parquet(f"{table_path}/{BATCH}={batch_id}")
 
     return (
         rows.writeStream.foreachBatch(merge)
@@ -142,6 +141,12 @@ def stream_snippets(
     )
 
 
+def read_upserted(spark: SparkSession, path: str) -> DataFrame:
+    """The metadata table: per key the first batch's first write and the last batch's last one."""
+    rows = read_table(spark, path, StructType([*SNIPPETS.fields, StructField(BATCH, LongType())]))
+    return upserted(None, rows, "video_id", SNIPPET_OVERWRITE, [BATCH]).select(*SNIPPETS.fieldNames())
+
+
 def run_stages(stages: Sequence[Sequence[Callable[[], StreamingQuery]]], timeout: int = 12 * 3600) -> None:
     """Run the queries of a stage together; the next stage starts when all of them have finished.
 
