@@ -105,6 +105,19 @@ def test_append_is_one_transaction(spark, rows):
     assert rows(tables.read_table(spark, path, STATS), "video_id", "view_count") == [("a", 1), ("b", 3)]
 
 
+def test_a_retried_append_replaces_itself(spark, rows):
+    path = fresh_path(spark, "append")
+    first, second = stats_rows(spark, ("a", "2024-01-01", 1)), stats_rows(spark, ("b", "2024-01-01", 2), ("c", "2024-01-02", 3))
+    for batch, name in ((first, "one"), (second, "two"), (second, "two"), (first, "one")):
+        done = tables.append_records(spark, batch, path, STATS, KEY, batch_id=name)
+        assert (done.written, done.conflicts) == (batch.count(), 0)
+    assert rows(tables.read_table(spark, path, STATS), "video_id") == [("a",), ("b",), ("c",)]
+    # Another run with the same rows, under its own name, is turned away.
+    assert tables.append_records(spark, second, path, STATS, KEY, batch_id="three").conflicts == 2
+    shorter = tables.append_records(spark, second.limit(0), path, STATS, KEY, batch_id="two")
+    assert shorter.written == 0 and rows(tables.read_table(spark, path, STATS), "video_id") == [("a",)]
+
+
 def test_admitted_plans(spark, rows):
     old, new = stats_rows(spark, ("a", "2024-01-01", 1)), stats_rows(spark, ("a", "2024-01-01", 2), ("b", "2024-01-01", 3))
     assert ingest.admitted(new, old, KEY).count() == 0

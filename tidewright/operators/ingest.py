@@ -135,6 +135,14 @@ def key_conflicts(batch: DataFrame, existing: DataFrame | None, key: Sequence[st
     return repeated.union(present).distinct()
 
 
+def marked_keys(batch: DataFrame, existing: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Every key of the batch with its ``copies`` there and whether it is ``present`` among the existing rows."""
+    key = list(key)
+    keys = batch.groupBy(*key).agg(F.count(F.lit(1)).alias("copies"))
+    old = same_period(existing, batch, key).select(*key).distinct().withColumn("_there", F.lit(True))
+    return keys.join(old, key, "left").select(*key, "copies", F.coalesce("_there", F.lit(False)).alias("present"))
+
+
 def admitted(
     batch: DataFrame, existing: DataFrame | None, key: Sequence[str], on_conflict: str = "reject"
 ) -> DataFrame:

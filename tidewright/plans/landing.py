@@ -16,7 +16,7 @@ from tidewright.schemas import (
 )
 from tidewright.session import fresh_path
 from tidewright.sources.files import merge_jsonl
-from tidewright.sources.tables import AppendResult, append_records, read_table
+from tidewright.sources.tables import BATCH, AppendResult, append_records, read_table
 
 RAW_SETS = {"raw_videos": RAW_VIDEOS, "registry": REGISTRY, "raw_comments": RAW_COMMENTS}
 
@@ -49,7 +49,7 @@ def prune_tables(
     """Write the retained tables to a new root and return it; the old one stays readable."""
     new_root = fresh_path(spark, "raw")
     for name, df in retained(spark, root, as_of, days).items():
-        df.write.mode("overwrite").parquet(f"{new_root}/{name}")
+        df.write.mode("overwrite").parquet(f"{new_root}/{name}/{BATCH}=retained")
     return new_root
 
 

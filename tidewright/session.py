@@ -36,7 +36,14 @@ def build_session(
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-    return tune(builder.getOrCreate())
+    ours = SparkSession.getActiveSession() is None
+    session = builder.getOrCreate()
+    if ours and session.sparkContext.master.partition("[")[0] == "local" and not session.conf.get("spark.checkpoint.dir", None):
+        # One machine: any folder is shared. The setting cannot change while a session runs, and on a cluster it has
+        # to come from outside.
+        session.stop()
+        session = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tidewright-")).getOrCreate()
+    return tune(session)
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -47,19 +54,11 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, named by ``spark.checkpoint.dir``.
-
-    Only a local-mode session may fall back to a temporary folder: on a cluster a folder of the
-    driver machine would be invisible to (and lost with) the executors.
-    """
+    """Folder every executor can reach, named by ``spark.checkpoint.dir``, which is set when a session starts."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if spark.sparkContext.master.partition("[")[0] != "local":
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="tidewright-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    if not configured:
+        raise RuntimeError("start the session with spark.checkpoint.dir set to a folder that all executors share")
+    return configured.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
