@@ -237,3 +237,21 @@ def test_half_life_report(spark, fits):
 @pytest.mark.parametrize("margin, tier", [(9.99, "Reliable"), (10, "Acceptable"), (20, "Proceed with Caution"), (40, "Unreliable"), (None, "Unreliable")])
 def test_tiers(spark, margin, tier):
     assert spark.range(1).select(decay.reliability_tier(F.lit(margin).cast("double"))).first()[0] == tier
+
+
+def test_density_looks_at_what_a_kernel_reaches(spark):
+    """Two far clusters: the points between them get nothing and stay, as zeros."""
+    values = [i / 1000 for i in range(2000)] + [5000 + i / 1000 for i in range(2000)] * 40
+    narrow = [0.0, 1.0] * 60_000 + [1e4]
+    df = spark.createDataFrame([("two", v) for v in values] + [("one", v) for v in narrow] + [("flat", 3.0)] * 4 + [(None, 1.0), (None, 2.0)], "g string, v double")
+    got = summaries.density(df, "v", ["g"]).collect()
+    for g in ("two", "one", None):
+        own = np.array([v for h, v in [("two", v) for v in values] + [("one", v) for v in narrow] + [(None, 1.0), (None, 2.0)] if h == g])
+        rows = sorted((r.point, r.x, r.density) for r in got if r.g == g)
+        width = own.std(ddof=1) * len(own) ** -0.2
+        assert [p for p, _, _ in rows] == list(range(100))
+        kinds, n = np.unique(own, return_counts=True)
+        for _, x, d in rows:
+            assert d == pytest.approx((n * np.exp(-0.5 * ((x - kinds) / width) ** 2)).sum() / len(own) / width / np.sqrt(2 * np.pi), rel=1e-9, abs=1e-300)
+    assert [(r.point, r.x, r.density) for r in got if r.g == "flat"] == [(0, 3.0, None)]
+    assert any(r.density == 0 for r in got if r.g == "one")

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.operators.hotkeys import attach_measured
+from tidewright.operators.hotkeys import attach_measured, same_keys
 from tidewright.operators.ranks import clean_numbers, exact_quantiles, prefix_sum
+from tidewright.session import cut_lineage
 
 
 def value_counts(df: DataFrame, column: str, counted: str | None = None) -> DataFrame:
@@ -135,12 +136,16 @@ def box_outliers(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     return _fenced(df, value, by).where(outside).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
 
 
+# Beyond so many bandwidths the Gaussian kernel is zero in double precision.
+KERNEL_REACH = 39.0
+
+
 def density(df: DataFrame, value: str, by: Sequence[str], grid: int = 100, cut: float = 2.0) -> DataFrame:
     """Gaussian kernel density per group on an even grid reaching ``cut`` bandwidths past the data.
 
-    Bandwidth is Scott's rule. Every row is expanded to the fixed grid inside the scan stage and
-    summed map-side, so the shuffle carries at most grid x groups rows per task. A group without
-    spread has one row: point 0 at its value, with a null density.
+    Bandwidth is Scott's rule. A value meets the grid points its kernel reaches and no others; the sums are combined
+    map-side, so the shuffle carries at most grid x groups rows per task. Points that nothing reaches have density
+    zero. A group without spread has one row: point 0 at its value, with a null density.
     """
     by = list(by)
     counts = clean_numbers(df, value).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
@@ -160,20 +165,20 @@ def density(df: DataFrame, value: str, by: Sequence[str], grid: int = 100, cut:
         .withColumn("_points", F.when(F.col("bandwidth").isNull(), 1).otherwise(grid))
         .withColumn("_step", (F.col("_hi") - F.col("_lo")) / (grid - 1))
     )
-    spread = attach_measured(counts, shape, by).select(
-        *by, value, "n", "_n", "bandwidth", "_lo", "_step",
-        F.explode(F.sequence(F.lit(0), F.col("_points") - 1)).alias("point"),
+    shape = cut_lineage(shape.select(*[F.col(c).alias(f"_by_{c}") for c in by], "_n", "bandwidth", "_lo", "_points", "_step"))
+    reach, last = KERNEL_REACH * F.col("bandwidth"), F.col("_points") - 1
+    first = F.greatest(F.ceil((F.col(value) - reach - F.col("_lo")) / F.col("_step")).cast("int"), F.lit(0))
+    upto = F.least(F.floor((F.col(value) + reach - F.col("_lo")) / F.col("_step")).cast("int"), last)
+    met = counts.join(shape, same_keys(by)).where("bandwidth IS NOT NULL").withColumns({"_first": first, "_last": upto})
+    near = met.where("_first <= _last").select(
+        *by, value, "n", "bandwidth", "_lo", "_step", F.explode(F.sequence("_first", "_last")).alias("point")
     )
-    x = F.col("_lo") + F.col("_step") * F.col("point")
-    u = (x - F.col(value)) / F.col("bandwidth")
-    return (
-        spread.groupBy(*by, "point")
-        .agg(
-            F.first(x).alias("x"),
-            (
-                F.sum(F.col("n") * F.exp(-0.5 * u * u))
-                / F.first(F.col("_n") * F.col("bandwidth"))
-                / F.sqrt(F.lit(2.0) * F.pi())
-            ).alias("density"),
-        )
+    u = (F.col("_lo") + F.col("_step") * F.col("point") - F.col(value)) / F.col("bandwidth")
+    sums = near.groupBy(*by, "point").agg(F.sum(F.col("n") * F.exp(-0.5 * u * u)).alias("_sum"))
+    points = shape.select(*[F.col(f"_by_{c}") for c in by], "_n", "bandwidth", "_lo", "_step", F.explode(F.sequence(F.lit(0), last)).alias("_point"))
+    whole = points.join(sums, same_keys(by) & (F.col("point") == F.col("_point")), "left")
+    return whole.select(
+        *[F.col(f"_by_{c}").alias(c) for c in by], F.col("_point").alias("point"),
+        (F.col("_lo") + F.col("_step") * F.col("_point")).alias("x"),
+        (F.coalesce("_sum", F.lit(0.0)) / (F.col("_n") * F.col("bandwidth")) / F.sqrt(F.lit(2.0) * F.pi())).alias("density"),
     )
