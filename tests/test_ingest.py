@@ -118,6 +118,24 @@ def test_a_retried_append_replaces_itself(spark, rows):
     assert shorter.written == 0 and rows(tables.read_table(spark, path, STATS), "video_id") == [("a",)]
 
 
+def test_a_transform_run_takes_what_is_new_and_retries_in_place(spark, rows):
+    from tidewright.plans.transform import transform_stats
+
+    def raw(*days):
+        payload = '{"items": [{"id": "v%s", "statistics": {"viewCount": "7"}}]}'
+        return spark.createDataFrame([(f"2024-01-{d}", payload % d) for d in days], "d string, video_response string").select(
+            F.col("d").cast("timestamp").alias("scraped_at"), "video_response"
+        )
+
+    path = fresh_path(spark, "stats")
+    assert transform_stats(spark, raw("02"), path).written == 1
+    assert transform_stats(spark, raw("01", "02", "03"), path, 1).written == 1
+    # The retry sees one payload more, as a late attempt would.
+    assert transform_stats(spark, raw("01", "02", "03", "04"), path, 1).written == 2
+    assert transform_stats(spark, raw("02", "03", "04"), path).written == 0
+    assert rows(tables.read_table(spark, path, STATS), "video_id", "view_count") == [("v02", 7), ("v03", 7), ("v04", 7)]
+
+
 def test_admitted_plans(spark, rows):
     old, new = stats_rows(spark, ("a", "2024-01-01", 1)), stats_rows(spark, ("a", "2024-01-01", 2), ("b", "2024-01-01", 3))
     assert ingest.admitted(new, old, KEY).count() == 0

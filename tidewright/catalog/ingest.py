@@ -21,6 +21,7 @@ from tidewright.catalog.shapes import FORMAT_ORDER, Tables
 from tidewright.functions.times import keep_record
 from tidewright.operators import ingest, integrity
 from tidewright.plans.landing import land_run
+from tidewright.plans.transform import transform_comments, transform_snippets, transform_stats
 from tidewright.schemas import COMMENTS, RAW_VIDEOS, SNIPPETS, STATS
 from tidewright.session import fresh_path
 from tidewright.sources import files, tables
@@ -577,3 +578,35 @@ def st4(t: Tables) -> DataFrame:
         part = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
         out = part if out is None else out.unionByName(part)
     return out
+
+
+# ---- transform runs
+
+EARLIER = "scraped_at < TIMESTAMP '2024-01-16'"
+
+
+@query("x1_stats_runs", "SELECT DISTINCT video_id, epoch_us(scraped_at) AS scraped_at FROM payload_items")
+def x1(t: Tables) -> DataFrame:
+    """Two runs over a growing raw table; the second one is tried twice."""
+    path, raw = fresh_path(t.spark, "stats"), t.raw_videos()
+    transform_stats(t.spark, raw.where(EARLIER), path, 0, on_conflict="skip")
+    for _ in range(2):
+        transform_stats(t.spark, raw, path, 1, on_conflict="skip")
+    return tables.read_table(t.spark, path, STATS).select("video_id", micros("scraped_at"))
+
+
+@query("x2_comments_runs", COMMENTS_SQL)
+def x2(t: Tables) -> DataFrame:
+    path, raw = fresh_path(t.spark, "comments"), t.raw_comments()
+    transform_comments(t.spark, raw.where(EARLIER), path)
+    transform_comments(t.spark, raw, path)
+    return comment_columns(tables.read_table(t.spark, path, COMMENTS))
+
+
+@query("x3_snippets_runs", UPSERT_SQL.format(old="(SELECT * FROM items WHERE false)"))
+def x3(t: Tables) -> DataFrame:
+    path, raw = fresh_path(t.spark, "snippets"), t.raw_videos()
+    transform_snippets(t.spark, raw.where(EARLIER), t.registered(), path)
+    batch = transform_snippets(t.spark, raw, t.registered(), path)
+    transform_snippets(t.spark, raw, t.registered(), path, batch)
+    return snippet_columns(streams.read_upserted(t.spark, path))
