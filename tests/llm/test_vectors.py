@@ -1,5 +1,7 @@
 import math
 
+from decimal import Decimal
+
 import numpy as np
 import pytest
 
@@ -75,3 +77,12 @@ def test_an_odd_row_first_hides_no_other_length(spark, rows, monkeypatch, length
     monkeypatch.setattr(vectors.Index, "reach", lambda self, sample, radius, recall: radius)  # exact
     want = expected(given) + [(600, 1, 600, True), (601, 1, 600, False), (602, 0, 602, True)] + [(610 + i, 39, 610, i == 0) for i in range(40)]
     assert rows(vectors.near_vectors(frame)) == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("kind, one, two", [("double", 1.2, 1.7), ("string", "a", "b"), ("long", 2**40, 2**40 + 1), ("decimal(5,2)", Decimal("1.20"), Decimal("1.70"))])
+def test_labels_of_any_type(spark, rows, monkeypatch, kind, one, two):
+    """Only equal labels link, whatever their type; a null label links with nothing."""
+    monkeypatch.setattr(vectors.Index, "reach", lambda self, sample, radius, recall: radius)  # exact
+    data = [(i, [1.0, 0.001 * i, 0.0], (one, two)[i % 2]) for i in range(40)] + [(90, [1.0, 0.0, 0.0], None)]
+    got = vectors.near_vectors(spark.createDataFrame(data, f"vec_id long, embedding array<float>, label {kind}"))
+    assert rows(got) == sorted([(i, 19, i % 2, i < 2) for i in range(40)] + [(90, 0, 90, True)], key=repr)

@@ -175,15 +175,19 @@ def _links_in_cells(cosine: float):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = np.column_stack([np.asarray(batch.column(i), dtype=np.int64) for i in range(4)])
+            # Labels of any type, as numbers inside the batch and by their text across batches.
+            coded = batch.column(0).dictionary_encode()
+            names = [repr(v) for v in coded.dictionary.to_pylist()]
+            keys = np.column_stack([np.asarray(c, dtype=np.int64) for c in (coded.indices, *batch.columns[1:4])])
             bounds = np.concatenate(([0], np.flatnonzero(np.any(keys[1:] != keys[:-1], axis=1)) + 1, [len(keys)]))
             asks = np.asarray(batch.column(4).to_numpy(zero_copy_only=False), dtype=bool)
             ids, copies, x = np.asarray(batch.column(5)), np.asarray(batch.column(6)), batch.column(7)
             for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-                if key is not None and tuple(keys[s]) != key:
+                mine = (names[keys[s, 0]], *keys[s, 1:].tolist())
+                if key is not None and mine != key:
                     yield flush()
                     held = []
-                key = tuple(keys[s])
+                key = mine
                 held.append((ids[s:e], asks[s:e], copies[s:e], unit(_matrix(x.slice(s, e - s), key[1]))[0]))
         if held:
             yield flush()
@@ -198,7 +202,7 @@ def near_vectors(
     """One row per vector: ``key``, ``n_links`` (other vectors linked directly), ``component_id`` (the
     smallest key reachable by links) and ``kept`` (it is its own component id).
 
-    Only vectors with the same label, not null, and of the same length are compared. Equal vectors of a label are found as one
+    Only vectors with the same label (of any type that can be grouped by), not null, and of the same length are compared. Equal vectors of a label are found as one
     and counted by their number. A vector that is null, empty, zero, holds a null or a non-finite
     component links with nothing; so does one with a null key, whose row stays
     (component null, kept false). Repeated rows are vectors of their own that link with each other; different
@@ -206,7 +210,7 @@ def near_vectors(
     """
     kind = vectors.schema[embedding].dataType
     x = F.col(embedding) if kind == ArrayType(FloatType(), kind.containsNull) else F.col(embedding).cast("array<double>")
-    given = vectors.select(F.col(key).alias("key"), F.col(label).cast("long").alias("label"), x.alias("x"))
+    given = vectors.select(F.col(key).alias("key"), F.col(label).alias("label"), x.alias("x"))
     sized = F.col("x").isNotNull() & F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf")))) & F.exists("x", lambda v: v != 0)
     usable = given.where(sized & F.col("label").isNotNull() & F.col("key").isNotNull())
     # Equal vectors of a label are one class, named by its smallest key.
@@ -255,7 +259,7 @@ def near_vectors(
 
     # A crowded cell is stored in parts of about BLOCK vectors, and whoever asks asks every part.
     parts = cut_lineage(
-        classes.select("label", "width", "x").mapInArrow(per_batch(stored), "label long, width int, cell long")
+        classes.select("label", "width", "x").mapInArrow(per_batch(stored), classes.select("label", "width").schema.add("cell", "long"))
         .groupBy("label", "width", "cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
     )
     dealt = classes.select("label", "width", "id", "copies", "x").mapInArrow(per_batch(deal), schema)
