@@ -1,5 +1,6 @@
 import html as chars
 import re
+import time
 
 import numpy as np
 import pytest
@@ -87,3 +88,45 @@ def test_icons_and_custom_elements_swallow_nothing(model, icon):
 def test_many_open_icons_are_read_in_one_pass(model):
     page = pages.Page("<svg><template>" * 100_000 + "<p>text")
     assert [t for _, _, t, _ in page.pieces] == ["text"]
+
+
+@pytest.mark.parametrize(
+    "piece",
+    ["<a ", "<a", "<a '", "<a \"'", "</a ", "</a '", "<a b='>", "</script ", "<!-", "<svg ", "'<b \"", "<a =", "</b\"", "&", "&amp"],
+)
+def test_broken_tags_take_linear_time(piece):
+    source = "<p>text" + piece * (1_000_000 // len(piece))
+    began = time.process_time()
+    page = pages.Page(source)
+    assert time.process_time() - began < 10
+    assert page.pieces[0][2].startswith("text")
+
+
+@pytest.mark.parametrize(
+    "opening, piece",
+    [("<div>" * 20_000, "</p></x>"), ("<b>" * 20_000, "<li></li>"), ("<li><div>" + "<i>" * 20_000, "<li>a</li>"), ("<script>", "</script "),
+     ("<p>" + "<b>" * 20_000, "<p>a</p>"), ("", "<div></p><p></div>")],
+)
+def test_stray_end_tags_take_linear_time(opening, piece):
+    began = time.process_time()
+    pages.Page(opening + piece * 50_000)
+    assert time.process_time() - began < 10
+
+
+def test_tag_ends_match_a_plain_scan():
+    draw = np.random.default_rng(5)
+    for _ in range(300):
+        source = "".join(draw.choice(list("<>a\"' /"), size=40))
+        ends = pages._TagEnds(source)
+        for at in range(len(source)):
+            quote, want = "", -1
+            for i in range(at, len(source)):
+                c = source[i]
+                if quote:
+                    quote = "" if c == quote else quote
+                elif c == ">":
+                    want = i
+                    break
+                elif c in "\"'":
+                    quote = c
+            assert ends.after(at) == want, (source, at)

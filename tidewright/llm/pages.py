@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,13 +30,12 @@ TRAIN_PAGES = 150
 TRAIN_BYTES = 100_000
 VARIANTS = 5
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)|[^<]+|<",
-    re.S | re.I,
-)
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/<>]*)")
+_OTHER = re.compile(r"<!--.*?(?:-->|\Z)|<[!?/][^>]*(?:>|\Z)|[^<]+|<", re.S)
+_QUOTE_OR_END = re.compile("[>\"']")
 # Elements whose content is no text of the page; those of the second group end with their tag if no end tag follows.
 _RAW_END = {
-    name: re.compile(rf"</{name}(?:[\s/][^>]*)?>", re.I) for name in "script style iframe textarea title noscript template svg".split()
+    name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in "script style iframe textarea title noscript template svg".split()
 }
 _NEVER_OPEN = frozenset(("noscript", "template", "svg"))
 _ATTR = re.compile(r"\b(class|id|role|itemprop|aria-label|data-main)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -70,25 +70,63 @@ FEATURES = (
 )
 
 
-def _tokens(source: str) -> Iterator[re.Match]:
-    """The tokens of a page, without its raw elements and what is in them."""
-    at, never_closed = 0, set()
-    while at is not None:
-        start, at = at, None
-        for m in _TOKEN.finditer(source, start):
-            name = (m["tag"] or "").lower()
-            if m["end"] or name not in _RAW_END:
-                yield m
-                continue
-            if name in never_closed or (name == "svg" and m["attrs"].rstrip().endswith("/")):
-                continue
-            closed = _RAW_END[name].search(source, m.end())
-            if closed:
-                at = closed.end()
+class _TagEnds:
+    """Where the tags of a page end. Whatever the page holds, no stretch is searched twice in vain: the next quote or ``>`` is
+    remembered, and so are the quotes from which no end of a tag can be reached."""
+
+    def __init__(self, source: str):
+        self.source, self.asked, self.found = source, 0, -1
+        self.dead: set[int] = set()
+
+    def _next(self, at: int) -> int:
+        if not self.asked <= at <= self.found:
+            m = _QUOTE_OR_END.search(self.source, at)
+            self.asked, self.found = at, m.start() if m else len(self.source)
+        return self.found
+
+    def after(self, at: int) -> int:
+        """The place of the first ``>`` from ``at`` that stands in no quotes, or -1."""
+        passed = []
+        here = self._next(at)
+        while here < len(self.source) and here not in self.dead:
+            if self.source[here] == ">":
+                return here
+            passed.append(here)
+            close = self.source.find(self.source[here], here + 1)
+            if close < 0:
                 break
-            if name not in _NEVER_OPEN:
-                return
+            here = self._next(close + 1)
+        self.dead.update(passed)
+        return -1
+
+
+def _tokens(source: str) -> Iterator[tuple[str | None, str, bool]]:
+    """The tokens of a page in order, without its raw elements and what is in them: (element name, attributes, is an
+    end tag) or (None, text, False). A tag that never ends is text; the time is linear in the page."""
+    ends, at, never_closed = _TagEnds(source), 0, set()
+    while at < len(source):
+        tag = _TAG.match(source, at)
+        stop = ends.after(tag.end()) if tag else -1
+        if stop < 0:
+            m = _OTHER.match(source, at)
+            at = m.end()
+            if m[0][0] != "<" or len(m[0]) == 1:
+                yield None, m[0], False
+            continue
+        at, name, attrs = stop + 1, tag[2].lower(), source[tag.end() : stop]
+        if tag[1] or name not in _RAW_END:
+            yield name, attrs, bool(tag[1])
+            continue
+        if name in never_closed or (name == "svg" and attrs.rstrip().endswith("/")):
+            continue
+        closed = _RAW_END[name].search(source, at)
+        over = source.find(">", closed.end()) if closed else -1
+        if over >= 0:
+            at = over + 1
+        elif name in _NEVER_OPEN:
             never_closed.add(name)
+        else:
+            return
 
 
 class Page:
@@ -97,23 +135,22 @@ class Page:
     def __init__(self, source: str):
         self.tag, self.parent, self.words, self.main = ["#page"], [-1], [frozenset()], [None]
         self.pieces: list[tuple[int, int, str, bool]] = []  # element, block, text, inside a link
-        stack, block, links = [0], 0, 0
-        for m in _tokens(source):
-            name = m["tag"]
+        # The open elements, for each the place of the innermost one that is no inline element, and how many of a name are open.
+        stack, bases, opened = [0], [0], Counter()
+        block, links = 0, 0
+        for name, text, is_end in _tokens(source):
             if name is None:
-                text = m[0]
-                if text[0] != "<" or len(text) == 1:
-                    self.pieces.append((stack[-1], block, html.unescape(text), links > 0))
+                self.pieces.append((stack[-1], block, html.unescape(text), links > 0))
                 continue
-            name = name.lower()
-            if m["end"]:
-                if name in (self.tag[i] for i in stack[1:]):
-                    while True:
-                        closed = self.tag[stack.pop()]
-                        links -= closed == "a"
-                        block += closed not in INLINE
-                        if closed == name:
-                            break
+            if is_end:
+                while opened[name]:
+                    bases.pop()
+                    closed = self.tag[stack.pop()]
+                    opened[closed] -= 1
+                    links -= closed == "a"
+                    block += closed not in INLINE
+                    if closed == name:
+                        break
                 continue
             if name in VOID:
                 if name == "hr":
@@ -124,20 +161,16 @@ class Page:
             if name not in INLINE:
                 block += 1
                 # An open paragraph (or item, cell) ends where the next block begins.
-                ends = SAME_CLOSES.get(name, "p").split()
-                for depth in range(len(stack) - 1, 0, -1):
-                    tag = self.tag[stack[depth]]
-                    if tag in ends or tag == "p":
-                        for i in stack[depth:]:
-                            links -= self.tag[i] == "a"
-                        del stack[depth:]
-                        break
-                    if tag not in INLINE:
-                        break
+                ends, depth = SAME_CLOSES.get(name, "p").split(), bases[-1]
+                if depth and self.tag[stack[depth]] in ("p", *ends):
+                    for i in stack[depth:]:
+                        opened[self.tag[i]] -= 1
+                        links -= self.tag[i] == "a"
+                    del stack[depth:], bases[depth:]
             words, main = frozenset(), None
-            if m["attrs"] and "=" in m["attrs"]:
+            if "=" in text:
                 found = set()
-                for key, *values in _ATTR.findall(m["attrs"]):
+                for key, *values in _ATTR.findall(text):
                     value = "".join(values)
                     if key.lower() == "data-main":
                         main = value == "1"
@@ -148,8 +181,10 @@ class Page:
             self.parent.append(stack[-1])
             self.words.append(words)
             self.main.append(main)
-            if not m["attrs"].rstrip().endswith("/"):
+            if not text.rstrip().endswith("/"):
+                bases.append(bases[-1] if name in INLINE else len(stack))
                 stack.append(len(self.tag) - 1)
+                opened[name] += 1
                 links += name == "a"
 
     def features(self) -> np.ndarray:
@@ -341,6 +376,8 @@ def extract_main_text(pages: DataFrame, key: str = "page_id", url: str = "url",
     line ends in page order. Null and empty pages give an empty text; null and repeated keys keep their
     rows; without a page that marks its article nothing can be learned and every element stays; an empty
     table gives an empty result; nothing is shuffled but the training sample; other columns are not read.
+    Pages of more than ``TRAIN_BYTES`` characters are extracted like any other but never learned from.
+    Broken markup (tags and quotes without an end, stray end tags) takes time linear in the page, as any other.
     """
     model = train(pages, key, source, rows)
     if not len(model.leaf):
