@@ -21,8 +21,8 @@ from tidewright.catalog.shapes import FORMAT_ORDER, Tables
 from tidewright.functions.times import keep_record
 from tidewright.operators import ingest, integrity
 from tidewright.plans.landing import land_run
-from tidewright.plans.transform import transform_comments, transform_snippets, transform_stats
-from tidewright.schemas import COMMENTS, RAW_VIDEOS, SNIPPETS, STATS
+from tidewright.plans.transform import transform_comments, transform_snippets, transform_stats, transform_transcripts
+from tidewright.schemas import COMMENTS, FAILED_FETCH, RAW_VIDEOS, SNIPPETS, STATS, TRANSCRIPTS
 from tidewright.session import fresh_path
 from tidewright.sources import files, tables
 from tidewright.streaming import ingest as streams
@@ -610,3 +610,29 @@ def x3(t: Tables) -> DataFrame:
     batch = transform_snippets(t.spark, raw, t.registered(), path)
     transform_snippets(t.spark, raw, t.registered(), path, batch)
     return snippet_columns(streams.read_upserted(t.spark, path))
+
+
+@query(
+    "x4_transcript_runs",
+    """WITH c AS (SELECT 'v' || conv_id AS video_id, replace(string_agg(text, ' ' ORDER BY turn), chr(10), ' ') AS transcript FROM conversations GROUP BY conv_id),
+       w AS (SELECT video_id, row_number() OVER (ORDER BY video_id) <= 40 AND right(video_id, 1) NOT IN ('0', '5') AS at_once
+             FROM items WHERE video_format IN ('Long-form', 'Live/VOD'))
+       SELECT w.video_id, c.transcript, CASE WHEN at_once THEN 0 ELSE 1 END::BIGINT AS batch_id FROM w LEFT JOIN c ON w.video_id = c.video_id""",
+)
+def x4(t: Tables) -> DataFrame:
+    """A first run of forty videos, a part of which fails; a second one, tried twice, over all that still have no row."""
+    path = fresh_path(t.spark, "transcripts")
+    texts = ingest.joined_segments(t.table("conversations"), ["conv_id"], "turn", "text")
+    texts = texts.select(F.concat(F.lit("v"), "conv_id").alias("video_id"), "transcript")
+
+    def fetch(ids: DataFrame) -> DataFrame:
+        return ids.join(texts, "video_id", "left")
+
+    def fetch_badly(ids: DataFrame) -> DataFrame:
+        failed = F.substring("video_id", -1, 1).isin("0", "5")
+        return fetch(ids).withColumn("transcript", F.when(failed, F.lit(FAILED_FETCH)).otherwise(F.col("transcript")))
+
+    transform_transcripts(t.spark, t.items(), path, fetch_badly)
+    for _ in range(2):
+        transform_transcripts(t.spark, t.items(), path, fetch, limit=None, batch_id=1)
+    return tables.read_table(t.spark, path, StructType([*TRANSCRIPTS.fields, StructField(tables.BATCH, LongType())]))

@@ -239,16 +239,15 @@ def new_registry_rows(
 
 
 def missing_transcripts(
-    snippets: DataFrame, transcripts: DataFrame, limit: int = TRANSCRIPT_LIMIT
+    snippets: DataFrame, transcripts: DataFrame, limit: int | None = TRANSCRIPT_LIMIT
 ) -> DataFrame:
-    """Ids of transcribed formats without a transcript row, at most ``limit``, lowest ids first."""
-    return (
+    """Ids of transcribed formats without a transcript row, at most ``limit`` (None: all), lowest ids first."""
+    missing = (
         snippets.where(F.col("video_format").isin(*TRANSCRIBED_FORMATS))
         .select("video_id")
         .join(transcripts.select("video_id"), "video_id", "left_anti")
-        .orderBy("video_id")
-        .limit(limit)
     )
+    return missing if limit is None else missing.orderBy("video_id").limit(limit)
 
 
 def joined_segments(segments: DataFrame, key: Sequence[str], position: str, text: str) -> DataFrame:

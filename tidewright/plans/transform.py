@@ -8,6 +8,7 @@ under the same id takes its mark from the other batches and replaces what the fi
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,13 +16,15 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from tidewright.operators.ingest import (
     SNIPPET_OVERWRITE,
+    fetched_transcripts,
     flatten_comments,
     flatten_snippets,
     flatten_stats,
+    missing_transcripts,
     rows_after_mark,
     upserted,
 )
-from tidewright.schemas import COMMENTS, PRIMARY_KEYS, SNIPPETS, STATS
+from tidewright.schemas import COMMENTS, PRIMARY_KEYS, SNIPPETS, STATS, TRANSCRIPT_LIMIT, TRANSCRIPTS
 from tidewright.sources.tables import BATCH, AppendResult, append_records, read_table
 
 MARK = "scraped_at"
@@ -72,3 +75,28 @@ def transform_snippets(spark: SparkSession, raw_videos: DataFrame, registry: Dat
     once = upserted(None, rows.select(*SNIPPETS.fieldNames(), "position"), "video_id", SNIPPET_OVERWRITE)
     once.select(*SNIPPETS.fieldNames()).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
     return batch_id
+
+
+@dataclass(frozen=True)
+class TranscriptRun:
+    batch_id: int
+    written: int
+    unavailable: int
+
+
+def transform_transcripts(
+    spark: SparkSession, snippets: DataFrame, path: str, fetch: Callable[[DataFrame], DataFrame],
+    limit: int | None = TRANSCRIPT_LIMIT, batch_id: int | None = None,
+) -> TranscriptRun:
+    """Fetch transcripts for videos that have no row yet and append what came back.
+
+    ``fetch`` turns the work list (``video_id``) into attempts (``video_id``, ``transcript``): a text, null where there is
+    none to be had, or the mark of a failed fetch. Failed ones are not stored, so the next run asks for them again; nulls
+    are, so it does not. ``limit`` None asks for all at once. A retry under the same batch id works off the same list.
+    """
+    batch_id = next_batch(spark, path, TRANSCRIPTS) if batch_id is None else batch_id
+    have = _batches(spark, path, TRANSCRIPTS).where(F.col(BATCH) < batch_id)
+    kept = fetched_transcripts(fetch(missing_transcripts(snippets, have, limit)))
+    done = append_records(spark, kept, path, TRANSCRIPTS, PRIMARY_KEYS["transcripts"], "skip", str(batch_id))
+    mine = _batches(spark, path, TRANSCRIPTS).where(F.col(BATCH) == batch_id)
+    return TranscriptRun(batch_id, done.written, mine.where(F.col("transcript").isNull()).count())
