@@ -1,6 +1,8 @@
 import hashlib
 import re
 
+from pyspark.sql import functions as F
+
 from tidewright.llm import queries, secrets
 
 TEXTS = [
@@ -42,3 +44,36 @@ def test_ledger_scans_only_what_is_new(spark, rows):
     rules = secrets.Rules(extra=(("header", "BEGIN [A-Z]+ KEY"),))
     _, again = secrets.scan_versions(second, rules=rules, ledger=new.unionByName(more))
     assert again.count() == 3
+
+
+def test_a_recorded_ledger_is_never_scanned_again(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "ledger")
+    rows = [(1, "password = hunter2secret"), (2, "nothing"), (3, None), (4, "password = hunter2secret"), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_chars", F.length("text"))
+    assert secrets.read_ledger(spark, folder).count() == 0
+    first, new = secrets.scan_versions(docs, ledger=secrets.read_ledger(spark, folder))
+    assert new.count() == 3
+    for _ in range(2):
+        secrets.record(new, folder, "0")
+    assert secrets.read_ledger(spark, folder).count() == 3
+
+    more = docs.unionByName(spark.createDataFrame([(5, "token: abcdef123")], "doc_id long, text string").withColumn("n_chars", F.length("text")))
+    again, added = secrets.scan_versions(more, ledger=secrets.read_ledger(spark, folder))
+    assert added.count() == 1
+    key = lambda r: (r.doc_id or 0, r.blob)
+    assert sorted((key(r), r.spans) for r in again.where("doc_id IS NULL OR doc_id < 5").collect()) == sorted((key(r), r.spans) for r in first.collect())
+    secrets.record(added, folder, "1")
+    # Two runs side by side may record a blob twice.
+    secrets.record(added, folder, "2")
+
+    plain = sorted((r.doc_id or 0, r.text or "", r.n_chars or 0) for r in secrets.mask(more, "[secret]").collect())
+    seen = []
+    scan = secrets.scan_blobs
+    monkeypatch.setattr(secrets, "scan_blobs", lambda blobs, rules: seen.append(blobs.count()) or scan(blobs, rules))
+    masked = secrets.mask(more, "[secret]", ledger=secrets.read_ledger(spark, folder)).collect()
+    assert seen == [0]
+    assert sorted((r.doc_id or 0, r.text or "", r.n_chars or 0) for r in masked) == plain
+    assert len([r for r in masked if r.text and "[secret]" in r.text]) == 3
+    secrets.mask(more, "[secret]", rules=secrets.Rules((("name", "hunter"),)), ledger=secrets.read_ledger(spark, folder)).count()
+    assert seen[1] == 4
+    assert secrets.mask(more.limit(0), "[secret]").count() == 0

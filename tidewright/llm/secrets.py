@@ -12,11 +12,12 @@ import re
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright.llm.common import fresh, per_batch, text_bytes
 from tidewright.session import cut_lineage
+from tidewright.sources.tables import BATCH, read_table
 
 # The base rules.
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -87,6 +88,28 @@ def addressed(docs: DataFrame, path: str, text: str) -> DataFrame:
     return docs.select(F.col(path).alias("path"), F.sha2(raw, 256).alias("blob"), raw.alias("raw"))
 
 
+def _ledger_rows(rows: DataFrame, rules: Rules, ledger: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """(all ledger rows of this rule version, those new among them) for addressed rows; only unseen blobs are scanned, each once."""
+    unseen = rows.select("blob", "raw")
+    if ledger is None:
+        new = cut_lineage(scan_blobs(unseen.dropDuplicates(["blob"]), rules))
+        return new, new
+    known = ledger.where(F.col("rules") == rules.version).select("blob", "rules", "spans").dropDuplicates(["blob"])
+    new = cut_lineage(scan_blobs(unseen.join(known.select("blob"), "blob", "left_anti").dropDuplicates(["blob"]), rules))
+    return new.unionByName(known), new
+
+
+def read_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """All ledger rows recorded below ``folder``; empty before the first run."""
+    return read_table(spark, folder, spark.createDataFrame([], LEDGER).schema)
+
+
+def record(new: DataFrame, folder: str, batch_id: str) -> None:
+    """Add new ledger rows as a batch; a retry under the same id replaces what the first attempt left. Blobs that two runs
+    recorded side by side count once when they are read for a scan."""
+    new.write.mode("overwrite").parquet(f"{folder}/{BATCH}={batch_id}")
+
+
 def scan_versions(
     docs: DataFrame, path: str = "doc_id", text: str = "text", rules: Rules = Rules(), ledger: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
@@ -99,13 +122,7 @@ def scan_versions(
     repeated paths keep their rows, an empty table gives empty results, other columns are not read.
     """
     rows = addressed(docs, path, text)
-    unseen = rows.select("blob", "raw")
-    known = None
-    if ledger is not None:
-        known = ledger.where(F.col("rules") == rules.version).select("blob", "rules", "spans")
-        unseen = unseen.join(known.select("blob"), "blob", "left_anti")
-    new = cut_lineage(scan_blobs(unseen.dropDuplicates(["blob"]), rules))
-    full = new if known is None else new.unionByName(known)
+    full, new = _ledger_rows(rows, rules, ledger)
     # Only blobs with findings meet the paths; the others have none.
     hits = full.where(F.size("spans") > 0).select("blob", "spans")
     findings = rows.drop("raw").join(hits, "blob", "left").select(
@@ -114,15 +131,18 @@ def scan_versions(
     return findings, new
 
 
-def mask(docs: DataFrame, by: str, path: str = "doc_id", text: str = "text", length: str = "n_chars", rules: Rules = Rules()) -> DataFrame:
+def mask(
+    docs: DataFrame, by: str, path: str = "doc_id", text: str = "text", length: str = "n_chars", rules: Rules = Rules(),
+    ledger: DataFrame | None = None,
+) -> DataFrame:
     """All documents with their secrets replaced by ``by`` (overlapping spans by one), and the length
-    column set anew where the text changed. Null texts stay null.
+    column set anew where the text changed. Null texts stay null, repeated rows stay, an empty table stays empty.
 
-    The spans come from the ledger scan; only blobs with findings meet the documents again.
+    The spans come from the ledger scan; only blobs with findings meet the documents again. Blobs that ``ledger`` holds
+    under this rule version are not scanned; to record the others, scan with `scan_versions` first.
     """
-    rows = addressed(docs, path, text)
-    new = cut_lineage(scan_blobs(rows.select("blob", "raw").dropDuplicates(["blob"]), rules))
-    hits = new.where(F.size("spans") > 0).select(
+    full, _ = _ledger_rows(addressed(docs, path, text), rules, ledger)
+    hits = full.where(F.size("spans") > 0).select(
         F.col("blob").alias(fresh(docs, "_blob")), F.col("spans").alias(fresh(docs, "_spans"))
     )
     blob, spans = hits.columns
