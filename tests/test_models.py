@@ -89,6 +89,21 @@ def test_language_detection_paths_agree(spark, rows, limit):
     assert got[1] == "en" and got[2] == "de" and set(got) == {1, 2, 3, 4}
 
 
+@pytest.mark.parametrize("limit", ["10m", "-1"])
+def test_words_meet_the_profile_without_being_sorted(spark, limit):
+    """A sort of all words would hold a share of them that grows with the texts."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        asked = spark.createDataFrame([(i, "the " * 50 + ("bird", "katze")[i % 2]) for i in range(200)] + [(200, None)], "k int, text string")
+        out = scoring.detect_language(asked, "k", "text", scoring.train_language_profile(docs(spark), "text", "lang"))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        got = {r["k"]: r["language"] for r in out.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "ShuffledHashJoin [token" in plan and "Sort [token" not in plan
+    assert set(got) == set(range(201)) and {got[i] for i in range(200)} == {"en"}
+
+
 def test_keyword_weights(spark):
     df = spark.createDataFrame([(1, "a b b"), (2, "a c"), (3, None)], "k int, text string")
     got = {(r["k"], r["token"]): (r["tf"], r["df"], round(r["weight"], 6)) for r in scoring.keyword_weights(df, "k", "text").collect()}

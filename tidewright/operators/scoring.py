@@ -103,13 +103,13 @@ def train_language_profile(df: DataFrame, text: str, language: str) -> WordProfi
 def attach_class(df: DataFrame, key: str, text: str, profile: WordProfile, name: str) -> DataFrame:
     """Adds ``name``, the most likely class of the flattened text; ``key`` is unique in ``df``.
 
-    The stored profile carries its size, so the optimizer broadcasts it where the session's threshold
-    allows; words then meet it inside the scan stage. The sums are combined map-side.
+    Words are shuffled to the profile and probe a hash table of their part of it. They are never sorted: a task's
+    memory follows the vocabulary of its part, not the words that reach it. The sums are combined map-side.
     """
     tokens = df.select(key, F.explode_outer(words(flatten_lines(F.col(text)))).alias("token"))
     width = range(len(profile.classes))
     sums = (
-        tokens.join(profile.gains, "token", "left")
+        tokens.join(profile.gains.hint("shuffle_hash"), "token", "left")
         .groupBy(key)
         .agg(F.count("token").alias("n"), *[F.coalesce(F.sum(F.col("gains")[i]), F.lit(0.0)).alias(f"g{i}") for i in width])
     )
