@@ -153,3 +153,46 @@ def test_huffman_codes_are_prefix_free():
     paths = bitmix.huffman([5, 1, 1, 9, 3])
     said = ["".join(str(b) for _, b in p) for p in paths]
     assert sum(2.0 ** -len(s) for s in said) == 1 and len(set(said)) == 5 and len(said[3]) == min(map(len, said))
+
+
+def test_words_are_split_as_bytes_are():
+    draw = random.Random(6)
+    texts = [b"", b" ", b"One", b"\t\n\x0b\x0c\r one\x1c\x85 TWO\xc2\xa0x ", "É\u00c0A\u2003b".encode(), b"\xff\xfe A\x00b", b""]
+    texts += [bytes(draw.choice(b"aB \n\x08\x0e\x1f!\xc3") for _ in range(draw.randint(0, 40))) for _ in range(200)]
+    for some in (texts, texts[:2], [b""], texts[2:3], texts[-1:]):
+        words, sizes = lm.split_words(some)
+        assert words.to_pylist() == [w for t in some for w in t.lower().split()]
+        assert sizes.tolist() == [len(t.split()) for t in some]
+
+
+def test_chunks_hold_their_words_packed(spark):
+    """A list of words, one cell each, costs the JVM several times as much at every reading."""
+    rows = [(1, "b A\nc a"), (None, None), (2, ""), (3, "\tB b "), (1, "d"), (4, "ünï c")]
+    coded = lm.code_texts(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), "doc_id", "text")
+    assert not [f for f in coded.schema if "array<binary>" in f.dataType.simpleString()]
+    table = coded.toArrow().combine_chunks()
+    batch = table.to_batches()[0]
+    got = []
+    for row in range(len(batch)):
+        chunk = lm.Chunk(batch, row)
+        parts = np.split(chunk.tokens, np.cumsum(chunk.sizes)[:-1])
+        got += [(k, chunk.held, n, chunk.words.take(pa.array(t)).to_pylist()) for k, n, t in zip(chunk.keys.to_pylist(), chunk.n_bytes.to_pylist(), parts)]
+    held = lambda k: k is not None and zlib.crc32(str(k).encode()) % 5 == 1
+    want = [(k, held(k), len((t or "").encode()), (t or "").encode().lower().split()) for k, t in rows]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_scores_do_not_depend_on_how_much_is_done_at_once(monkeypatch):
+    vocabulary, model = small_model()
+    draw = random.Random(10)
+    texts = [[draw.choice([b"a", b"ab", b"b", b"c", b"zz"]) for _ in range(n)] for n in (0, 3, 300, 1500, 256, 255, 257)]
+    series = series_of(vocabulary, texts)
+    said, tables = [], []
+    for stretch in (bitmix.BLOCK, 4 * bitmix.BLOCK, bitmix.STRETCH):
+        monkeypatch.setattr(bitmix, "STRETCH", stretch)
+        said.append(model.score(series))
+        tables.append(np.zeros((bitmix.PREDICTORS, 2 << 10), dtype=np.int32))
+        bitmix.count_bits(tables[-1], series, vocabulary.code, 22, np.arange(1, 8))
+    assert said[1] == pytest.approx(said[0], rel=1e-6) and said[2] == pytest.approx(said[0], rel=1e-6)
+    assert (tables[0] == tables[1]).all() and (tables[0] == tables[2]).all()
+    assert tables[0][0].sum() == sum(k * int(vocabulary.code.sizes[s].sum()) for k, s in enumerate(np.split(series.symbols, np.cumsum(series.sizes)[:-1]), 1))

@@ -21,8 +21,10 @@ PREDICTORS = 3
 MARKERS = 32
 # Symbols of a block: a series' weights move after each.
 BLOCK = 128
-# Symbols coded at once, so that the arrays stay in the cache.
+# Symbols a mixer learns from at once: it takes a step after each so many.
 GROUP = 16384
+# Symbols counted or scored at once, whole blocks: enough for the tables to stay in the cache from one to the next.
+STRETCH = 32768
 # How many blocks the trained weights count for when a series refines them.
 INERTIA = 20.0
 BUCKETS = 128
@@ -63,8 +65,8 @@ class Code:
         paths = huffman(counts)
         self.sizes = np.array([len(p) for p in paths], dtype=np.int64)
         self.begins = np.concatenate([[0], np.cumsum(self.sizes)])[:-1]
-        self.nodes = np.array([node for p in paths for node, _ in p], dtype=np.uint32) * _STEP
-        self.bits = np.array([bit for p in paths for _, bit in p], dtype=np.uint8)
+        # A node and its bit, in one number.
+        self.steps = np.array([2 * node + bit for p in paths for node, bit in p], dtype=np.uint32)
 
 
 class Vocabulary:
@@ -186,32 +188,36 @@ def _spread(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def coded_bits(symbols: np.ndarray, contexts: Sequence[np.ndarray], code: Code, shift: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(which symbol, bit, slots per predictor) for the bits of a stretch of symbols."""
-    widths = code.sizes[symbols]
-    of = np.repeat(np.arange(len(symbols), dtype=np.int32), widths)
+    """(bits per symbol, bit, slots per predictor) for the bits of a stretch of symbols."""
+    widths = code.sizes.take(symbols)
     # Where a bit stands in the code: its place in the symbol's path.
-    at = np.arange(len(of), dtype=np.int32) + (code.begins[symbols] - np.cumsum(widths) + widths).astype(np.int32)[of]
-    node, bit = code.nodes[at], code.bits[at]
+    at = _spread(code.begins.take(symbols), widths)
+    node = code.steps.take(at, mode="wrap")
+    bit = (node & np.uint32(1)).astype(np.uint8)
+    node >>= np.uint32(1)
+    node *= _STEP
     slots = np.empty((PREDICTORS, len(node)), dtype=np.intp)
     for i, context in enumerate(contexts):
-        mixed = ((context ^ (context >> np.uint32(15))) * _MIX[i])[of]
+        mixed = np.repeat((context ^ (context >> np.uint32(15))) * _MIX[i], widths)
         mixed ^= node
         mixed *= _STEP
         mixed ^= mixed >> np.uint32(15)
         mixed *= _MIX[i]
         mixed >>= np.uint32(shift)
         slots[i] = mixed
-    return of, bit, slots
+    return widths, bit, slots
 
 
 def count_bits(tables: np.ndarray, series: Series, code: Code, shift: int, times: np.ndarray | None = None) -> None:
     """Add the bits of series, each so many times, to ``tables``: per predictor, zeros and ones of every slot."""
     each = None if times is None else np.repeat(times, series.sizes).astype(tables.dtype)
-    for a in range(0, len(series.symbols), GROUP):
-        of, bit, slots = coded_bits(series.symbols[a : a + GROUP], [c[a : a + GROUP] for c in series.contexts], code, shift)
-        add = tables.dtype.type(1) if each is None else each[a : a + GROUP][of]
-        for i in range(PREDICTORS):
-            np.add.at(tables[i], 2 * slots[i] + bit, add)
+    for a in range(0, len(series.symbols), STRETCH):
+        widths, bit, slots = coded_bits(series.symbols[a : a + STRETCH], [c[a : a + STRETCH] for c in series.contexts], code, shift)
+        add = tables.dtype.type(1) if each is None else np.repeat(each[a : a + STRETCH], widths)
+        slots *= 2
+        slots += bit
+        for table, own in zip(tables, slots):
+            np.add.at(table, own, add)
 
 
 class Model:
@@ -227,24 +233,24 @@ class Model:
     def inputs(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Log odds per predictor (and a constant), and the gate, of every bit."""
         x = np.empty((PREDICTORS + 1, slots.shape[1]), dtype=np.float32)
-        for i in range(PREDICTORS):
-            x[i] = self.odds[i][slots[i]]
+        for row, odds, own in zip(x, self.odds, slots):
+            row[:] = odds.take(own, mode="wrap")
         x[:-1] -= 128
         x[:-1] *= np.float32(0.1)
         x[-1] = 0.3
-        return x, _level(x[2]) * np.uint8(LEVELS) + _level(x[1])
+        return x, (_level(x[2]) * np.uint8(LEVELS) + _level(x[1])).astype(np.intp)
 
     def mix(self, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
         """The weighted log odds; ``gate`` says by whose weights."""
         z = np.zeros(x.shape[1], dtype=np.float32)
         for row, weight in zip(x, self.mixer.weights.T.astype(np.float32)):
-            z += row * weight[gate]
+            z += row * weight.take(gate, mode="wrap")
         return z
 
     def refine(self, z: np.ndarray, gate: np.ndarray) -> np.ndarray:
         """Half way, in log odds, from the mix to what was observed."""
-        bucket = ((z + np.float32(LIMIT)) * np.float32(BUCKETS / (2 * LIMIT))).astype(np.int32)
-        return 0.5 * (z + self.refined[gate.astype(np.int32) * BUCKETS + bucket])
+        bucket = ((z + np.float32(LIMIT)) * np.float32(BUCKETS / (2 * LIMIT))).astype(np.intp)
+        return 0.5 * (z + self.refined.take(gate * BUCKETS + bucket, mode="wrap"))
 
     def learn(self, series: Series) -> None:
         """Move the mixer along series it has not been counted from, each stretch of bits after it was predicted:
@@ -253,7 +259,7 @@ class Model:
             _, bit, slots = coded_bits(series.symbols[a : a + GROUP], [c[a : a + GROUP] for c in series.contexts], self.code, self.shift)
             x, gate = self.inputs(slots)
             z = _clip(self.mix(x, gate))
-            bucket = gate.astype(np.int64) * BUCKETS + ((z + LIMIT) * (BUCKETS / (2 * LIMIT))).astype(np.int64)
+            bucket = gate * BUCKETS + ((z + LIMIT) * (BUCKETS / (2 * LIMIT))).astype(np.int64)
             self.mixer.hits += np.bincount(bucket, minlength=GATES * BUCKETS).reshape(GATES, BUCKETS)
             self.mixer.ones += np.bincount(bucket, bit, GATES * BUCKETS).reshape(GATES, BUCKETS)
             p = 1 / (1 + np.exp(-z))
@@ -274,42 +280,44 @@ class Model:
         while begin < len(order):
             # Series of about the same length side by side; a long one alone, in turns.
             longest = int(sizes[order[begin]])
-            chosen = order[begin : begin + max(1, GROUP // longest)]
+            chosen = order[begin : begin + max(1, STRETCH // longest)]
             begin += len(chosen)
             moved = np.zeros((PREDICTORS + 1, len(chosen)), dtype=np.float32)
             evidence = np.zeros(len(chosen))
-            for turn in range(0, longest, GROUP):
+            for turn in range(0, longest, STRETCH):
                 total[chosen] += self._turn(series, begins[chosen], sizes[chosen], turn, moved, evidence)
         return total
 
     def _turn(self, series, begins, sizes, turn, moved, evidence) -> np.ndarray:
-        """Log probability of at most ``GROUP`` symbols of every series, block by block."""
+        """Log probability of at most ``STRETCH`` symbols of every series, block by block."""
         n, longest = len(begins), int(sizes.max())
-        starts = np.arange(turn, min(longest, turn + GROUP), BLOCK)
+        starts = np.arange(turn, min(longest, turn + STRETCH), BLOCK)
         left = np.clip(sizes[None] - starts[:, None], 0, BLOCK)
         at = _spread((begins[None] + starts[:, None]).ravel(), left.ravel())
-        of, bit, slots = coded_bits(series.symbols[at], [c[at] for c in series.contexts], self.code, self.shift)
+        symbols_bits, bit, slots = coded_bits(series.symbols.take(at), [c.take(at) for c in series.contexts], self.code, self.shift)
         x, gate = self.inputs(slots)
         z = self.mix(x, gate)
+        came = bit.astype(np.float32)
+        sign = 1 - 2 * came
         # The bits of a block and series are neighbours.
-        cells = np.concatenate([[0], np.searchsorted(of, np.cumsum(left.ravel()))])
+        cells = np.concatenate([[0], np.cumsum(symbols_bits)]).take(np.concatenate([[0], np.cumsum(left.ravel())]))
         out = np.zeros(n)
         for b, start in enumerate(starts):
             lo, hi = cells[b * n], cells[(b + 1) * n]
             edges = cells[b * n : (b + 1) * n + 1] - lo
             widths = np.diff(edges)
             full = np.flatnonzero(widths)
-            here, came = z[lo:hi], bit[lo:hi]
+            here = z[lo:hi]
             if start:
                 for row, own in zip(x[:, lo:hi], moved):
                     here = here + row * np.repeat(own, widths)
             here = _clip(here)
             final = self.refine(here, gate[lo:hi])
             # Log of the probability of the bit that came.
-            said = -np.log(1 + np.exp(np.where(came, -final, final)))
+            said = -np.log(1 + np.exp(final * sign[lo:hi]))
             out[full] += np.add.reduceat(said, edges[full], dtype=np.float64)
             if start + BLOCK < longest:
-                error = came - 1 / (1 + np.exp(-here))
+                error = came[lo:hi] - 1 / (1 + np.exp(-here))
                 slope = np.add.reduceat(x[:, lo:hi] * error, edges[full], axis=1)
                 evidence[full] += widths[full]
                 moved[:, full] += (self.way @ slope / (INERTIA * 8 * BLOCK + evidence[full])).astype(np.float32)

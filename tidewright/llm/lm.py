@@ -12,7 +12,6 @@ has no bound, are joined to the texts that hold them. See `bitmix` for the model
 from __future__ import annotations
 
 import math
-from collections import defaultdict
 from collections.abc import Callable, Iterator
 from itertools import count
 
@@ -21,7 +20,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, LongType, StructType
+from pyspark.sql.types import ArrayType, LongType, StructType
 
 from tidewright.llm.bitmix import (
     BUCKETS,
@@ -87,7 +86,7 @@ def code_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
     schema = (
         StructType().add("chunk", "long").add("use", "integer").add("keys", ArrayType(rows.schema["key"].dataType))
         .add("n_bytes", ArrayType(LongType())).add("sizes", ArrayType(LongType())).add("tokens", "binary")
-        .add("words", ArrayType(BinaryType())).add("n_train", ArrayType(LongType()))
+        .add("ends", "binary").add("letters", "binary")
     )
     return cut_lineage(rows.mapInArrow(code, schema))
 
@@ -97,32 +96,46 @@ class _Open:
 
     def __init__(self, use: int, kind: pa.DataType):
         self.use, self.kind, self.weight = use, kind, 0
-        self.keys, self.n_bytes, self.tokens, self.known = [], [], [], _numbers()
+        self.keys, self.texts = [], []
 
     def add(self, key, text: bytes) -> None:
-        words = text.lower().split()
         self.keys.append(key)
-        self.n_bytes.append(len(text))
-        self.tokens.append(np.fromiter(map(self.known.__getitem__, words), np.int32, len(words)))
+        self.texts.append(text)
         self.weight += len(text)
 
     def closed(self, name: int) -> pa.RecordBatch:
-        flat = np.concatenate(self.tokens)
-        trained = np.bincount(flat if self.use != JUDGED else flat[:0], minlength=len(self.known))
+        words, sizes = split_words(self.texts)
+        coded = words.dictionary_encode()
+        ends, letters = _packed(coded.dictionary)
         columns = {
             "chunk": pa.array([name], pa.int64()), "use": pa.array([self.use], pa.int32()), "keys": pa.array([self.keys], pa.list_(self.kind)),
-            "n_bytes": pa.array([self.n_bytes], pa.list_(pa.int64())), "sizes": pa.array([[len(t) for t in self.tokens]], pa.list_(pa.int64())),
-            "tokens": pa.array([flat.tobytes()], pa.binary()), "words": pa.array([list(self.known)], pa.list_(pa.binary())),
-            "n_train": pa.ListArray.from_arrays(np.array([0, len(trained)], dtype=np.int32), pa.array(trained, pa.int64())),
+            "n_bytes": pa.array([[len(t) for t in self.texts]], pa.list_(pa.int64())), "sizes": pa.array([sizes], pa.list_(pa.int64())),
+            "tokens": pa.array([coded.indices.to_numpy().tobytes()], pa.binary()), "ends": pa.array([ends], pa.binary()),
+            "letters": pa.array([letters], pa.binary()),
         }
         return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
-def _numbers() -> defaultdict:
-    """Numbers the words asked for, the first one 0."""
-    known: defaultdict = defaultdict()
-    known.default_factory = known.__len__
-    return known
+def split_words(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, A-Z in lower case, one after the other, and how many each text has."""
+    data = np.frombuffer(b" ".join([*texts, b""]).lower(), dtype=np.uint8)
+    gap = (data == 32) | (data - np.uint8(9) < 5)
+    # Every gap, one after each text among them, ends a word, which may be empty.
+    at = np.flatnonzero(gap)
+    lengths = np.diff(at, prepend=-1) - 1
+    there = np.flatnonzero(lengths)
+    ends = np.zeros(len(there) + 1, dtype=np.int32)
+    np.cumsum(lengths[there], out=ends[1:])
+    words = pa.Array.from_buffers(pa.binary(), len(there), [None, pa.py_buffer(ends), pa.py_buffer(data[~gap])])
+    after = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+    return words, np.diff(np.searchsorted(at[there], after), prepend=0)
+
+
+def _packed(words: pa.Array) -> tuple[bytes, bytes]:
+    """The ends of words that lie one after the other, and their bytes."""
+    ends = np.frombuffer(words.buffers()[1], dtype=np.int32, count=len(words) + 1 + words.offset)[words.offset :]
+    letters = memoryview(words.buffers()[2] or b"")[ends[0] : ends[-1]]
+    return (ends[1:] - ends[0]).astype(np.int32).tobytes(), bytes(letters)
 
 
 class Chunk:
@@ -134,13 +147,13 @@ class Chunk:
         self.held = get("use").as_py() == JUDGED
         self.sizes = np.array(get("sizes").as_py(), dtype=np.int64)
         self.tokens = np.frombuffer(get("tokens").as_py(), dtype=np.int32)
-        self.words = get("words").values
+        ends = np.frombuffer(get("ends").as_py(), dtype=np.int32)
+        self.words = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(np.append(np.int32(0), ends)), get("letters").as_buffer()])
 
     def series(self, vocabulary: Vocabulary) -> Series:
         return text_series(self.tokens, self.sizes, self.words, vocabulary)
 
 
-COLUMNS = ["chunk", "use", "keys", "n_bytes", "sizes", "tokens", "words"]
 # Turns the batches a task gets into series, with how often each counts.
 Reader = Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[Series, np.ndarray | None]]]
 
@@ -167,9 +180,15 @@ def _rare_words(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Series, np.
 
 def word_counts(chunks: DataFrame) -> DataFrame:
     """(word, c) for every word: how often it occurs in the training texts."""
-    each = chunks.select(F.explode(F.arrays_zip("words", "n_train")).alias("w"))
-    counted = each.groupBy(F.col("w.words").alias("word")).agg(F.sum("w.n_train").alias("c"))
-    return cut_lineage(counted)
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in _chunks(batches):
+            n = np.bincount(chunk.tokens if not chunk.held else chunk.tokens[:0], minlength=len(chunk.words))
+            for a in range(0, len(n), 1 << 16):
+                part = n[a : a + (1 << 16)]
+                yield pa.RecordBatch.from_arrays([chunk.words.slice(a, len(part)), pa.array(part, pa.int64())], names=["word", "n"])
+
+    return cut_lineage(chunks.mapInArrow(own, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c")))
 
 
 def _pack(counts: np.ndarray) -> bytes:
@@ -340,7 +359,6 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH)
     chunks = code_texts(docs, key, text)
     counts = word_counts(chunks)
-    chunks = chunks.select(*COLUMNS)
     texts = chunks.where(F.col("use") != JUDGED).agg(F.sum(F.size("keys")).alias("n")).first()["n"] or 0
     told = counts.agg(F.count_if(F.col("c") > 0).alias("v"), F.coalesce(F.sum("c"), F.lit(0)).alias("n")).first()
     n_tokens, n_kinds = told["n"] + texts, told["v"] + (texts > 0)
