@@ -9,6 +9,7 @@ import pytest
 
 from tests.llm.conftest import DOCS, awkward_rows, prose
 from tidewright.llm import bitmix, lm, queries
+from tidewright.session import cut_lineage
 
 COLUMNS = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens"]
 
@@ -196,3 +197,9 @@ def test_scores_do_not_depend_on_how_much_is_done_at_once(monkeypatch):
     assert said[1] == pytest.approx(said[0], rel=1e-6) and said[2] == pytest.approx(said[0], rel=1e-6)
     assert (tables[0] == tables[1]).all() and (tables[0] == tables[2]).all()
     assert tables[0][0].sum() == sum(k * int(vocabulary.code.sizes[s].sum()) for k, s in enumerate(np.split(series.symbols, np.cumsum(series.sizes)[:-1]), 1))
+
+
+def test_a_cut_takes_options_of_the_writer(spark):
+    assert not any("uncompressed" in f or "snappy" in f for f in cut_lineage(spark.range(3), compression="uncompressed").inputFiles())
+    assert all("snappy" in f for f in cut_lineage(spark.range(3)).inputFiles())
+    assert cut_lineage(spark.range(3), **lm.LARGE_CELLS).count() == 3

@@ -53,6 +53,8 @@ LEAST_BITS, MOST_BITS = 12, 20
 # Bytes of text in a chunk, and of chunks in an Arrow batch.
 CHUNK, BATCH = 4 << 20, "8m"
 SEGMENT = 1 << 13
+# A chunk's cells have megabytes: Parquet is to look at a page's and a row group's size after each, not after a hundred.
+LARGE_CELLS = {f"parquet.{part}.size.row.check.{end}": 1 for part in ("page", "block") for end in ("min", "max")}
 
 SEGMENTS = "segment int, cells binary"
 _LOG10 = math.log(10)
@@ -86,9 +88,9 @@ def code_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
     schema = (
         StructType().add("chunk", "long").add("use", "integer").add("keys", ArrayType(rows.schema["key"].dataType))
         .add("n_bytes", ArrayType(LongType())).add("sizes", ArrayType(LongType())).add("tokens", "binary")
-        .add("ends", "binary").add("letters", "binary")
+        .add("lengths", "binary").add("letters", "binary")
     )
-    return cut_lineage(rows.mapInArrow(code, schema))
+    return cut_lineage(rows.mapInArrow(code, schema), **LARGE_CELLS)
 
 
 class _Open:
@@ -106,11 +108,11 @@ class _Open:
     def closed(self, name: int) -> pa.RecordBatch:
         words, sizes = split_words(self.texts)
         coded = words.dictionary_encode()
-        ends, letters = _packed(coded.dictionary)
+        lengths, letters = _packed(coded.dictionary)
         columns = {
             "chunk": pa.array([name], pa.int64()), "use": pa.array([self.use], pa.int32()), "keys": pa.array([self.keys], pa.list_(self.kind)),
             "n_bytes": pa.array([[len(t) for t in self.texts]], pa.list_(pa.int64())), "sizes": pa.array([sizes], pa.list_(pa.int64())),
-            "tokens": pa.array([coded.indices.to_numpy().tobytes()], pa.binary()), "ends": pa.array([ends], pa.binary()),
+            "tokens": pa.array([coded.indices.to_numpy().tobytes()], pa.binary()), "lengths": pa.array([lengths], pa.binary()),
             "letters": pa.array([letters], pa.binary()),
         }
         return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
@@ -132,10 +134,10 @@ def split_words(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
 
 
 def _packed(words: pa.Array) -> tuple[bytes, bytes]:
-    """The ends of words that lie one after the other, and their bytes."""
+    """The lengths of words and their bytes, one word after the other."""
     ends = np.frombuffer(words.buffers()[1], dtype=np.int32, count=len(words) + 1 + words.offset)[words.offset :]
     letters = memoryview(words.buffers()[2] or b"")[ends[0] : ends[-1]]
-    return (ends[1:] - ends[0]).astype(np.int32).tobytes(), bytes(letters)
+    return np.diff(ends).tobytes(), bytes(letters)
 
 
 class Chunk:
@@ -147,8 +149,9 @@ class Chunk:
         self.held = get("use").as_py() == JUDGED
         self.sizes = np.array(get("sizes").as_py(), dtype=np.int64)
         self.tokens = np.frombuffer(get("tokens").as_py(), dtype=np.int32)
-        ends = np.frombuffer(get("ends").as_py(), dtype=np.int32)
-        self.words = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(np.append(np.int32(0), ends)), get("letters").as_buffer()])
+        lengths = np.frombuffer(get("lengths").as_py(), dtype=np.int32)
+        ends = np.append(0, np.cumsum(lengths)).astype(np.int32)
+        self.words = pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(ends), get("letters").as_buffer()])
 
     def series(self, vocabulary: Vocabulary) -> Series:
         return text_series(self.tokens, self.sizes, self.words, vocabulary)

@@ -78,14 +78,14 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan if scan.rdd.getNumPartitions() > 2 * cores else scan.repartition(2 * cores)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, **options) -> DataFrame:
     """Materialise once on shared storage, so the rows (and any partition id stored in them)
     stay fixed when executors are lost.
 
     A parquet table rather than an RDD checkpoint: it is compressed, read back by column, and its
-    size is known to the optimizer.
+    size is known to the optimizer. ``options`` are the writer's.
     """
     spark = df.sparkSession
     path = fresh_path(spark, "step")
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
