@@ -1,8 +1,10 @@
 import random
 import time
+import tracemalloc
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import DOCS, prose
 from tidewright.llm import queries, toxicity
@@ -139,3 +141,41 @@ def test_a_chain_at_the_bound_of_its_sample():
     earlier = np.zeros((n, 0))
     p = toxicity._probability(chain.weights[0], rows, cols, earlier)
     assert np.mean((p > 0.5) == y[:, 0]) > 0.9
+
+
+def test_the_sample_stays_off_the_driver(spark):
+    """The driver's Python holds less than one number per document and word of the training sample."""
+    spam = " ".join("zq" + "".join(chr(97 + i // 26**p % 26) for p in (2, 1, 0)) for i in range(700))
+    n = 3000
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, spam).otherwise("the other and red").alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"), (F.col("doc_id") % 4 == 0).cast("int").alias("toxic"))
+    tracemalloc.start()
+    try:
+        model = toxicity.train(docs, labels)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(model.vocabulary) >= 700 and peak < 4 * 700 * n / 2
+
+
+@pytest.mark.parametrize("rows", [150, 20_000])
+def test_the_stored_sample_gives_the_plain_chain(spark, rows):
+    """Read in several splits, with repeated keys, at and below its bound, the sample is fitted in the order of the hash."""
+    docs, labels = toxic_corpus(400)
+    docs = [(k - 1 if k % 4 == 1 else k, *rest) for k, *rest in docs]
+    labels = [(-k - 1 if k < 0 and k % 4 else k, *marks) for k, *marks in labels]
+    given, marks = spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    try:
+        model = toxicity.train(given, marks, rows=rows)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    marked = {r.doc_id: [r.junk, r.toxic] for r in marks.selectExpr("doc_id", "1 - quality as junk", "toxic").orderBy(F.xxhash64("doc_id")).limit(rows).collect()}
+    place = model.vocabulary
+    drawn = [(k, sorted(place[w] for w in toxicity.words_of(t) if w in place)) for k, t, *_ in docs if k in marked]
+    at = {r.id: i for i, r in enumerate(spark.createDataFrame([(k,) for k in marked], "id long").orderBy(F.xxhash64("id")).collect())}
+    drawn = sorted(drawn, key=lambda d: (at[d[0]], d[1]))[:rows]
+    pairs = np.array([(i, c) for i, (_, hits) in enumerate(drawn) for c in hits])
+    y = np.array([marked[k] for k, _ in drawn], dtype=float)
+    plain = toxicity.fit_chain(pairs[:, 0], pairs[:, 1], y, model.names, place, np.arange(len(y)) % toxicity.FOLDS)
+    assert len(place) and all(np.abs(a - b).max() < 1e-9 for a, b in zip(model.weights, plain.weights))

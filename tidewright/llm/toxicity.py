@@ -8,13 +8,14 @@ model never sees a probability that was fitted on its own row.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401 - pa.compute
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
@@ -81,11 +82,12 @@ def _probability(w: np.ndarray, rows: np.ndarray, cols: np.ndarray, earlier: np.
     return 1 / (1 + np.exp(-_logits(w, rows, cols, earlier)))
 
 
-def _places(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _places(keys: np.ndarray) -> tuple[np.ndarray | slice, np.ndarray, np.ndarray]:
     """Order by key, the keys that occur, and where each one's stretch begins."""
-    order = np.argsort(keys, kind="stable")
-    present, begins = np.unique(keys[order], return_index=True)
-    return order, present, begins
+    counts = np.bincount(keys)
+    present = np.flatnonzero(counts)
+    order = slice(None) if (keys[:-1] <= keys[1:]).all() else np.argsort(keys, kind="stable")
+    return order, present, np.cumsum(counts[present]) - counts[present]
 
 
 class Hits:
@@ -95,9 +97,9 @@ class Hits:
     def __init__(self, rows: np.ndarray, cols: np.ndarray, n: int, n_words: int):
         self.n, self.n_words = n, n_words
         order, self.rows, self.row_begins = _places(rows)
-        self.by_row = cols[order].astype(np.int32)
+        self.by_row = cols[order].astype(np.int32, copy=False)
         order, self.cols, self.col_begins = _places(cols)
-        self.by_col = rows[order].astype(np.int32)
+        self.by_col = rows[order].astype(np.int32, copy=False)
 
     def of_rows(self, w: np.ndarray) -> np.ndarray:
         """Per document the sum over its words."""
@@ -113,6 +115,20 @@ class Hits:
             out[self.cols] = np.add.reduceat(r.astype(np.float32)[self.by_col], self.col_begins)
         return out
 
+    def probability(self, w: np.ndarray, earlier: np.ndarray, which: np.ndarray) -> np.ndarray:
+        """Of the documents ``which``, in the precision of the scores."""
+        lengths, told = np.diff(self.row_begins, append=len(self.by_row)), which[self.rows]
+        rows = np.repeat(self.rows[told], lengths[told])
+        return _probability(w, rows, self.by_row[np.repeat(told, lengths)], earlier)[which]
+
+
+@dataclass(frozen=True)
+class Sample:
+    """The training documents as a fit sees them: their words, and a column of marks per category."""
+
+    hits: Hits
+    y: np.ndarray
+
 
 def fit_linear(
     rows: np.ndarray, cols: np.ndarray, n_words: int, earlier: np.ndarray, y: np.ndarray, ridge: float = 0.3, steps: int = 50
@@ -173,56 +189,79 @@ def fit_hits(
     return w
 
 
-# Runs a function on every item, wherever it likes, and gives the results in order.
-Runner = Callable[[Callable[[int], np.ndarray], Iterable[int]], list[np.ndarray]]
+# Runs every job on the sample, wherever it likes, and gives what they return in order.
+Runner = Callable[[Sequence[Callable[[Sample], np.ndarray]]], list[np.ndarray]]
 
 
 def fit_chain(
-    rows: np.ndarray, cols: np.ndarray, y: np.ndarray, names: Sequence[str], vocabulary: dict[str, int], fold: np.ndarray,
-    run: Runner = lambda fit, items: [fit(i) for i in items], share: Callable = lambda value: lambda: value,
+    rows: np.ndarray, cols: np.ndarray, y: np.ndarray, names: Sequence[str], vocabulary: dict[str, int], fold: np.ndarray
 ) -> Chain:
-    """``rows`` and ``cols`` say which document has which word of the vocabulary. ``run`` makes the fits, those of
-    the folds side by side, and ``share`` hands it what all of them need."""
-    hits = share(Hits(rows, cols, len(y), len(vocabulary)))
-    earlier, weights = np.zeros((len(y), 0)), []
-    for c in range(y.shape[1]):
-        told, before = y[:, c], earlier
-
-        def full(_: int, told=told, before=before) -> np.ndarray:
-            return fit_hits(hits(), before, told, np.ones(len(told)))
-
-        weights += run(full, [0])
-        if c + 1 == y.shape[1]:
+    """``rows`` and ``cols`` say which document has which word of the vocabulary."""
+    sample = Sample(Hits(rows, cols, len(y), len(vocabulary)), y)
+    return _fit_chain(names, vocabulary, fold, lambda jobs: [job(sample) for job in jobs])
+
+
+def _fit_chain(names: Sequence[str], vocabulary: dict[str, int], fold: np.ndarray, run: Runner) -> Chain:
+    """``run`` makes the fits, those of the folds side by side. Only weights and, per document, its fold and probabilities
+    are held here; the sample stays where the jobs run."""
+    earlier, weights = np.zeros((len(fold), 0)), []
+    for c in range(len(names)):
+
+        def full(sample: Sample, c=c, before=earlier) -> np.ndarray:
+            return fit_hits(sample.hits, before, sample.y[:, c], np.ones(len(before)))
+
+        weights += run([full])
+        if c + 1 == len(names):
             break
 
-        def without(f: int, told=told, before=before, start=weights[-1]) -> np.ndarray:
-            return fit_hits(hits(), before, told, (fold != f).astype(float), start)
+        def without(sample: Sample, f: int, c=c, before=earlier, start=weights[-1]) -> np.ndarray:
+            w = fit_hits(sample.hits, before, sample.y[:, c], (fold != f).astype(float), start)
+            return sample.hits.probability(w, before, fold == f)
 
-        unseen = np.zeros(len(y))
-        for f, w in enumerate(run(without, range(FOLDS))):
-            unseen[fold == f] = _probability(w, rows, cols, earlier)[fold == f]
+        unseen = np.zeros(len(fold))
+        for f, p in enumerate(run([partial(without, f=f) for f in range(FOLDS)])):
+            unseen[fold == f] = p
         earlier = np.column_stack([earlier, unseen])
     return Chain(tuple(names), vocabulary, tuple(weights))
 
 
-def _on_executors(spark: SparkSession) -> tuple[Runner, Callable]:
-    """Every fit is a task of its own; the hits, bounded by the training sample, are broadcast once."""
+def _sample(batches: Iterable[pa.RecordBatch], names: Sequence[str], n_words: int) -> Sample:
+    """The stored sample in the order of its numbers; one batch is held at a time beside what is kept of it."""
+    read = []
+    for batch in batches:
+        lists = batch.column("_hits")
+        lengths = pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False)
+        marks = np.column_stack([batch.column(c).to_numpy().astype(float) for c in names])
+        read.append((batch.column("_n").to_numpy().copy(), marks, lengths.copy(), lists.flatten().to_numpy().copy()))
+    n, marks, lengths, cols = (np.concatenate(parts) for parts in zip(*read))
+    del read
+    place = np.empty(len(n), dtype=np.int32)
+    order = np.argsort(n)
+    place[order] = np.arange(len(n))
+    rows = np.repeat(place, lengths)
+    if (rows[:-1] > rows[1:]).any():
+        at = np.argsort(rows, kind="stable")
+        rows, cols = rows[at], cols[at]
+    return Sample(Hits(rows, cols, len(n), n_words), marks[order])
 
-    def run(fit: Callable[[int], np.ndarray], items: Iterable[int]) -> list[np.ndarray]:
-        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            fitted = [fit(i) for i in batch.column(0).to_pylist()]
-            return pa.RecordBatch.from_arrays([batch.column(0), pa.array([w.tobytes() for w in fitted], pa.binary())], names=["id", "weights"])
 
-        n = len(items)
-        fitted = spark.range(0, n, 1, n).mapInArrow(per_batch(work), "id long, weights binary").toArrow()
-        of = dict(zip(fitted.column(0).to_pylist(), fitted.column(1).to_pylist()))
-        return [np.frombuffer(of[i]) for i in items]
+def _on_executors(stored: DataFrame, names: Sequence[str], n_words: int) -> Runner:
+    """Every job is a task of its own, which reads the stored sample; the driver gets what the jobs return."""
 
-    def share(hits: Hits):
-        held = spark.sparkContext.broadcast(hits)
-        return lambda: held.value
+    def task(i: int, job: Callable[[Sample], np.ndarray]) -> DataFrame:
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            found = job(_sample(batches, names, n_words))
+            yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([found.tobytes()], pa.binary())], names=["id", "found"])
 
-    return run, share
+        return stored.coalesce(1).mapInArrow(work, "id long, found binary")
+
+    def run(jobs: Sequence[Callable[[Sample], np.ndarray]]) -> list[np.ndarray]:
+        # A union of frames with one partition each would be one task.
+        tasks = stored.sparkSession.sparkContext.union([task(i, job).rdd for i, job in enumerate(jobs)])
+        of = {r.id: r.found for r in tasks.collect()}
+        return [np.frombuffer(of[i]) for i in range(len(jobs))]
+
+    return run
 
 
 def train(
@@ -231,8 +270,8 @@ def train(
     """The chain fitted on at most ``rows`` labelled documents.
 
     The vocabulary has all words and stems that tell any of the categories, counted over the sample by Spark.
-    What reaches the driver is bounded by the sample of ``rows``: the words, and each document's hits. The fits run on
-    the executors.
+    The sample is stored with each document's hits, and the fits run on the executors, which read it. What reaches the
+    driver is the vocabulary, and per document of the sample a probability.
     """
     names = [name for name, _, _ in chain]
     marks = [(F.col(column) == value).cast("int").alias(name) for name, column, value in chain]
@@ -272,11 +311,13 @@ def train(
         return pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(hits, pa.list_(pa.int32()))], names=[*batch.schema.names[:-1], "_hits"])
 
     schema = drawn.drop("_words").schema.add("_hits", ArrayType(IntegerType()))
-    hits = drawn.mapInArrow(per_batch(place), schema).orderBy(F.xxhash64("_key"), "_key", "_hits").limit(rows).toArrow()
-    y = np.column_stack([hits.column(c).to_numpy().astype(float) for c in names])
-    lists = hits.column("_hits").combine_chunks()
-    at = np.repeat(np.arange(len(y)), pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64))
-    return fit_chain(at, lists.flatten().to_numpy().astype(np.int64), y, names, vocabulary, np.arange(len(y)) % FOLDS, *_on_executors(docs.sparkSession))
+    stored = cut_lineage(
+        drawn.mapInArrow(per_batch(place), schema)
+        .orderBy(F.xxhash64("_key"), "_key", "_hits")
+        .limit(rows)
+        .select(F.monotonically_increasing_id().alias("_n"), *names, "_hits")
+    )
+    return _fit_chain(names, vocabulary, np.arange(min(n, rows)) % FOLDS, _on_executors(stored, names, len(vocabulary)))
 
 
 def score(docs: DataFrame, model: Chain, text: str, keep: Sequence[str], prefix: str = "p_") -> DataFrame:
