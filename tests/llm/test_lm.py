@@ -203,3 +203,47 @@ def test_a_cut_takes_options_of_the_writer(spark):
     assert not any("uncompressed" in f or "snappy" in f for f in cut_lineage(spark.range(3), compression="uncompressed").inputFiles())
     assert all("snappy" in f for f in cut_lineage(spark.range(3)).inputFiles())
     assert cut_lineage(spark.range(3), **lm.LARGE_CELLS).count() == 3
+
+
+def test_bits_of_a_stretch_equal_a_walk_along_the_paths():
+    """Slots stay in 32 bits: numpy's own indices move twice the memory in every pass over all bits."""
+    draw = np.random.default_rng(11)
+    code = bitmix.Code([int(c) for c in draw.integers(1, 1000, 40)])
+    paths = [code.steps[a : a + n].tolist() for a, n in zip(code.begins, code.sizes)]
+    symbols = draw.integers(0, 40, 500).astype(np.int32)
+    contexts = [draw.integers(0, 1 << 32, 500, dtype=np.uint32) for _ in range(bitmix.PREDICTORS)]
+    widths, bit, slots = bitmix.coded_bits(symbols, contexts, code, 20)
+    assert widths.tolist() == [len(paths[s]) for s in symbols]
+    assert bit.tolist() == [step & 1 for s in symbols for step in paths[s]]
+    assert slots.dtype == np.uint32
+    whole = 1 << 32
+    for own, context, mix in zip(slots, contexts, map(int, bitmix._MIX)):
+        want = []
+        for s, c in zip(symbols, map(int, context)):
+            for step in paths[s]:
+                h = ((((c ^ (c >> 15)) * mix % whole) ^ ((step >> 1) * int(bitmix._STEP) % whole)) * int(bitmix._STEP)) % whole
+                want.append((h ^ (h >> 15)) * mix % whole >> 20)
+        assert own.tolist() == want
+    none = bitmix.coded_bits(symbols[:0], [c[:0] for c in contexts], code, 20)
+    assert [v.size for v in none] == [0, 0, 0]
+
+
+def test_inputs_and_gates_follow_from_the_stored_bytes():
+    _, model = small_model()
+    odds = np.arange(8, 249, dtype=np.uint8)
+    three = bitmix.Model(model.code, np.array([odds, odds, odds[::-1]]), model.mixer, 22)
+    x, gate = three.inputs(np.tile(np.arange(len(odds), dtype=np.uint32), (3, 1)))
+    want = (odds.astype(np.float32) - np.float32(128)) * np.float32(0.1)
+    level = lambda v: (np.abs(v) >= 0.5).astype(int) + (np.abs(v) >= 2)
+    assert (x[0] == want).all() and (x[1] == want).all() and (x[2] == want[::-1]).all() and (x[3] == np.float32(0.3)).all()
+    assert gate.tolist() == (bitmix.LEVELS * level(want[::-1]) + level(want)).tolist()
+
+
+def test_texts_have_one_number_each(spark, monkeypatch):
+    """Rare words meet their text by a single number, over all chunks and tasks, empty texts and repeated keys included."""
+    monkeypatch.setattr(lm, "CHUNK", 40)
+    rows = [(None if i % 9 == 0 else i % 50, "word " * (i % 7)) for i in range(300)]
+    batches = lm.code_texts(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "doc_id", "text").toArrow().to_batches()
+    chunks = [lm.Chunk(b, r) for b in batches for r in range(len(b))]
+    numbers = [chunk.first + i for chunk in chunks for i in range(len(chunk.keys))]
+    assert len(chunks) > 9 and len(numbers) == len(set(numbers)) == len(rows)

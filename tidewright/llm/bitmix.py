@@ -30,6 +30,8 @@ INERTIA = 20.0
 BUCKETS = 128
 LIMIT = 12.0
 LEVELS = 3
+# The constant that stands beside the predictors.
+EVEN = np.float32(0.3)
 GATES = LEVELS * LEVELS
 
 _MIX = [np.uint32(2654435761 + 2 * 362437 * i) for i in range(PREDICTORS)]
@@ -187,24 +189,34 @@ def _spread(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(begins - ends + sizes, sizes)
 
 
+def _take(values: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """``values`` at places below their number, given in 32 bits, which numpy would widen first."""
+    return pc.take(pa.array(values), pa.array(at), boundscheck=False).to_numpy()
+
+
 def coded_bits(symbols: np.ndarray, contexts: Sequence[np.ndarray], code: Code, shift: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(bits per symbol, bit, slots per predictor) for the bits of a stretch of symbols."""
     widths = code.sizes.take(symbols)
+    # What the bits of a symbol share is side by side, to be repeated at once: its contexts, and where its path begins,
+    # less the place of its first bit here.
+    shared = np.empty((len(symbols), PREDICTORS + 1), dtype=np.uint32)
+    for i, context in enumerate(contexts):
+        shared[:, i] = (context ^ (context >> np.uint32(15))) * _MIX[i]
+    shared[:, -1] = (code.begins.take(symbols) - np.cumsum(widths) + widths).astype(np.uint32)
+    shared = np.repeat(shared, widths, axis=0)
     # Where a bit stands in the code: its place in the symbol's path.
-    at = _spread(code.begins.take(symbols), widths)
-    node = code.steps.take(at, mode="wrap")
-    bit = (node & np.uint32(1)).astype(np.uint8)
-    node >>= np.uint32(1)
+    step = _take(code.steps, np.arange(len(shared), dtype=np.uint32) + shared[:, -1])
+    bit = (step & np.uint32(1)).astype(np.uint8)
+    node = step >> np.uint32(1)
     node *= _STEP
-    slots = np.empty((PREDICTORS, len(node)), dtype=np.intp)
-    for i, context in enumerate(contexts):
-        mixed = np.repeat((context ^ (context >> np.uint32(15))) * _MIX[i], widths)
-        mixed ^= node
+    slots = np.empty((PREDICTORS, len(node)), dtype=np.uint32)
+    room = np.empty_like(node)
+    for i, mixed in enumerate(slots):
+        np.bitwise_xor(shared[:, i], node, out=mixed)
         mixed *= _STEP
-        mixed ^= mixed >> np.uint32(15)
+        mixed ^= np.right_shift(mixed, np.uint32(15), out=room)
         mixed *= _MIX[i]
         mixed >>= np.uint32(shift)
-        slots[i] = mixed
     return widths, bit, slots
 
 
@@ -214,10 +226,10 @@ def count_bits(tables: np.ndarray, series: Series, code: Code, shift: int, times
     for a in range(0, len(series.symbols), STRETCH):
         widths, bit, slots = coded_bits(series.symbols[a : a + STRETCH], [c[a : a + STRETCH] for c in series.contexts], code, shift)
         add = tables.dtype.type(1) if each is None else np.repeat(each[a : a + STRETCH], widths)
-        slots *= 2
-        slots += bit
+        slots <<= np.uint32(1)
+        slots |= bit
         for table, own in zip(tables, slots):
-            np.add.at(table, own, add)
+            np.add.at(table, own.astype(np.intp), add)
 
 
 class Model:
@@ -233,24 +245,36 @@ class Model:
     def inputs(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Log odds per predictor (and a constant), and the gate, of every bit."""
         x = np.empty((PREDICTORS + 1, slots.shape[1]), dtype=np.float32)
-        for row, odds, own in zip(x, self.odds, slots):
-            row[:] = odds.take(own, mode="wrap")
-        x[:-1] -= 128
-        x[:-1] *= np.float32(0.1)
-        x[-1] = 0.3
-        return x, (_level(x[2]) * np.uint8(LEVELS) + _level(x[1])).astype(np.intp)
+        # A byte less 128, in tenths.
+        tenths = [(_take(odds, own) ^ np.uint8(128)).view(np.int8) for odds, own in zip(self.odds, slots)]
+        for row, own in zip(x, tenths):
+            np.multiply(own, np.float32(0.1), out=row)
+        x[-1] = EVEN
+        return x, (_level(tenths[2]) * np.uint8(LEVELS) + _level(tenths[1])).astype(np.intp)
 
     def mix(self, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
         """The weighted log odds; ``gate`` says by whose weights."""
-        z = np.zeros(x.shape[1], dtype=np.float32)
-        for row, weight in zip(x, self.mixer.weights.T.astype(np.float32)):
-            z += row * weight.take(gate, mode="wrap")
+        weights = self.mixer.weights.T.astype(np.float32)
+        weights[-1] *= EVEN
+        z = weights[0].take(gate, mode="wrap")
+        z *= x[0]
+        for row, weight in zip(x[1:-1], weights[1:-1]):
+            own = weight.take(gate, mode="wrap")
+            own *= row
+            z += own
+        z += weights[-1].take(gate, mode="wrap")
         return z
 
     def refine(self, z: np.ndarray, gate: np.ndarray) -> np.ndarray:
         """Half way, in log odds, from the mix to what was observed."""
-        bucket = ((z + np.float32(LIMIT)) * np.float32(BUCKETS / (2 * LIMIT))).astype(np.intp)
-        return 0.5 * (z + self.refined.take(gate * BUCKETS + bucket, mode="wrap"))
+        place = z + np.float32(LIMIT)
+        place *= np.float32(BUCKETS / (2 * LIMIT))
+        bucket = place.astype(np.intp)
+        bucket += gate * BUCKETS
+        out = self.refined.take(bucket, mode="wrap")
+        out += z
+        out *= np.float32(0.5)
+        return out
 
     def learn(self, series: Series) -> None:
         """Move the mixer along series it has not been counted from, each stretch of bits after it was predicted:
@@ -309,25 +333,34 @@ class Model:
             full = np.flatnonzero(widths)
             here = z[lo:hi]
             if start:
-                for row, own in zip(x[:, lo:hi], moved):
-                    here = here + row * np.repeat(own, widths)
+                for row, own in zip(x[:-1, lo:hi], moved):
+                    gain = np.repeat(own, widths)
+                    gain *= row
+                    here += gain
+                here += np.repeat(moved[-1] * EVEN, widths)
             here = _clip(here)
-            final = self.refine(here, gate[lo:hi])
             # Log of the probability of the bit that came.
-            said = -np.log(1 + np.exp(final * sign[lo:hi]))
-            out[full] += np.add.reduceat(said, edges[full], dtype=np.float64)
+            said = self.refine(here, gate[lo:hi])
+            said *= sign[lo:hi]
+            np.exp(said, out=said)
+            said += 1
+            np.log(said, out=said)
+            out[full] -= np.add.reduceat(said, edges[full], dtype=np.float64)
             if start + BLOCK < longest:
-                error = came[lo:hi] - 1 / (1 + np.exp(-here))
+                error = np.exp(np.negative(here, out=here), out=here)
+                error += 1
+                np.divide(1, error, out=error)
+                np.subtract(came[lo:hi], error, out=error)
                 slope = np.add.reduceat(x[:, lo:hi] * error, edges[full], axis=1)
                 evidence[full] += widths[full]
                 moved[:, full] += (self.way @ slope / (INERTIA * 8 * BLOCK + evidence[full])).astype(np.float32)
         return out
 
 
-def _level(odds: np.ndarray) -> np.ndarray:
-    """How decided a predictor is: 0, 1 or 2."""
-    size = np.abs(odds)
-    return (size >= 0.5).astype(np.uint8) + (size >= 2)
+def _level(tenths: np.ndarray) -> np.ndarray:
+    """How decided a predictor is, by its log odds in tenths: 0, 1 or 2."""
+    size = np.abs(tenths)
+    return (size >= 5).astype(np.uint8) + (size >= 20)
 
 
 def _clip(z: np.ndarray) -> np.ndarray:

@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -66,14 +65,15 @@ def held_out(key: str) -> Column:
 
 
 def code_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Chunks of whole texts, all for the same use, stored: every later step reads them, and their names are fixed."""
+    """Chunks of whole texts, all for the same use, stored: every later step reads them, and the numbers of their texts
+    are fixed. A chunk's texts have consecutive ones, from ``first``."""
     hashed = F.crc32(F.col(key).cast("string").cast("binary"))
     teaches = F.coalesce(F.floor(hashed / FOLDS) % TEACHERS == 0, F.lit(False))
     use = F.when(held_out(key), JUDGED).when(teaches, TEACHING).otherwise(COUNTED)
     rows = docs.select(F.col(key).alias("key"), use.alias("use"), text_bytes(text).alias("text"))
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = count(TaskContext.get().partitionId() << 32)
+        first = TaskContext.get().partitionId() << 40
         open_chunks = {}
         for batch in batches:
             kind = batch.schema.field(0).type
@@ -81,12 +81,14 @@ def code_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
                 chunk = open_chunks.setdefault(use, _Open(use, kind))
                 chunk.add(name, bytes(value))
                 if chunk.weight >= CHUNK:
-                    yield open_chunks.pop(use).closed(next(names))
+                    yield open_chunks.pop(use).closed(first)
+                    first += len(chunk.keys)
         for chunk in open_chunks.values():
-            yield chunk.closed(next(names))
+            yield chunk.closed(first)
+            first += len(chunk.keys)
 
     schema = (
-        StructType().add("chunk", "long").add("use", "integer").add("keys", ArrayType(rows.schema["key"].dataType))
+        StructType().add("first", "long").add("use", "integer").add("keys", ArrayType(rows.schema["key"].dataType))
         .add("n_bytes", ArrayType(LongType())).add("sizes", ArrayType(LongType())).add("tokens", "binary")
         .add("lengths", "binary").add("letters", "binary")
     )
@@ -105,12 +107,12 @@ class _Open:
         self.texts.append(text)
         self.weight += len(text)
 
-    def closed(self, name: int) -> pa.RecordBatch:
+    def closed(self, first: int) -> pa.RecordBatch:
         words, sizes = split_words(self.texts)
         coded = words.dictionary_encode()
         lengths, letters = _packed(coded.dictionary)
         columns = {
-            "chunk": pa.array([name], pa.int64()), "use": pa.array([self.use], pa.int32()), "keys": pa.array([self.keys], pa.list_(self.kind)),
+            "first": pa.array([first], pa.int64()), "use": pa.array([self.use], pa.int32()), "keys": pa.array([self.keys], pa.list_(self.kind)),
             "n_bytes": pa.array([[len(t) for t in self.texts]], pa.list_(pa.int64())), "sizes": pa.array([sizes], pa.list_(pa.int64())),
             "tokens": pa.array([coded.indices.to_numpy().tobytes()], pa.binary()), "lengths": pa.array([lengths], pa.binary()),
             "letters": pa.array([letters], pa.binary()),
@@ -145,7 +147,7 @@ class Chunk:
 
     def __init__(self, batch: pa.RecordBatch, row: int):
         get = lambda name: batch.column(batch.schema.get_field_index(name))[row]
-        self.name, self.keys, self.n_bytes = get("chunk").as_py(), get("keys").values, get("n_bytes").values
+        self.first, self.keys, self.n_bytes = get("first").as_py(), get("keys").values, get("n_bytes").values
         self.held = get("use").as_py() == JUDGED
         self.sizes = np.array(get("sizes").as_py(), dtype=np.int64)
         self.tokens = np.frombuffer(get("tokens").as_py(), dtype=np.int32)
@@ -387,7 +389,7 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
             of = np.repeat(np.arange(n), series.sizes)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.full(n, chunk.name)), pa.array(np.arange(n)), chunk.keys, pa.array(np.full(n, chunk.held)), chunk.n_bytes,
+                    pa.array(chunk.first + np.arange(n)), chunk.keys, pa.array(np.full(n, chunk.held)), chunk.n_bytes,
                     pa.array(series.sizes), pa.array(np.bincount(of, known[series.symbols], n).astype(np.int64)),
                     pa.array(np.bincount(of, gain[series.symbols], n)), pa.array(model.score(series) / _LOG10),
                 ],
@@ -404,22 +406,24 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
             for a in range(0, len(pairs), 1 << 16):
                 b = a + (1 << 16)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(pairs[a:b]), chunk.name)), pa.array(of[a:b]), chunk.words.take(pa.array(token[a:b])), pa.array(n[a:b])],
-                    names=["chunk", "at", "word", "n"],
+                    [pa.array(chunk.first + of[a:b]), chunk.words.take(pa.array(token[a:b])), pa.array(n[a:b])],
+                    names=["at", "word", "n"],
                 )
 
     scored = (
-        StructType().add("chunk", "long").add("at", "long").add("key", docs.schema[key].dataType).add("held_out", "boolean")
+        StructType().add("at", "long").add("key", docs.schema[key].dataType).add("held_out", "boolean")
         .add("n_bytes", "long").add("n_tokens", "long").add("n_known", "long").add("base", "double").add("said", "double")
     )
-    # One row per text and distinct rare word; the words with a large share of all are not among them.
-    pairs = chunks.mapInArrow(others, "chunk long, at long, word binary, n long")
-    sums = pairs.join(rare.hint("shuffle_hash"), "word").groupBy("chunk", "at").agg(
-        F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(F.lit(0))).alias("n_rare"),
-        F.sum(F.col("n") * F.log10(F.col("c") + 0.5)).alias("base_rare"),
+    # One row per text, by its number, and distinct rare word; the words with a large share of all are not among them.
+    pairs = chunks.mapInArrow(others, "at long, word binary, n long")
+    # What an occurrence adds, worked out once per word. A word that was seen adds more than log10(1) to the base score.
+    each = rare.select("word", F.log10(F.col("c") + 0.5).alias("gain"), "spell")
+    sums = pairs.join(each.hint("shuffle_hash"), "word").groupBy("at").agg(
+        F.sum(F.when(F.col("gain") > 0, F.col("n")).otherwise(F.lit(0))).alias("n_rare"),
+        F.sum(F.col("n") * F.col("gain")).alias("base_rare"),
         F.sum(F.col("n") * F.col("spell")).alias("said_rare"),
     )
-    whole = chunks.mapInArrow(score, scored).join(sums, ["chunk", "at"], "left").withColumns(
+    whole = chunks.mapInArrow(score, scored).join(sums, "at", "left").withColumns(
         {"score": F.col("said") + F.coalesce("said_rare", F.lit(0.0))}
     )
     return whole.select(
